@@ -271,3 +271,17 @@ def test_shipped_date_uses_the_rebased_order_date(tables):
         ("2022-02-29", None, None),
         ("2021-07-04", None, "07-06"),
     ]
+
+
+def test_the_calendar_agrees_with_parsing(spark, tables):
+    from tradewind.functions import parse_date, rebase_year
+    from tradewind.operators import calendar
+
+    texts = ["7/4/96", "07/04/96", "007/4/96", "7/04/1996", "2/29/96", "2/29/97", "2/30/96", "12/31/99", "1/1/00", "", None]
+    df = tables("n int, d string, e string", *[(i, t, t) for i, t in enumerate(texts)])
+    for unmapped in ("drop", "keep"):
+        direct = rebase_year(parse_date("d", "M/d/yy"), unmapped=unmapped)
+        expected = [r[0] for r in df.orderBy("n").select(direct).collect()]
+        got = calendar.rebase_dates(df, "d", "e", unmapped=unmapped).orderBy("n").collect()
+        assert [r.d for r in got] == [r.e for r in got] == expected
+    assert calendar.calendar(spark, {}, "drop").distinct().count() == calendar.DAYS

@@ -27,13 +27,10 @@ def rebase_year(c: Column | str, years: Mapping[int, int] = REBASED_YEARS, unmap
     if unmapped not in ("drop", "keep"):
         raise ValueError(f"unmapped must be 'drop' or 'keep', not {unmapped!r}")
     date = _col(c)
-    year = F.year(date)
     prefix = F.lit("") if unmapped == "drop" else F.date_format(date, "yyyy-")
-    branches = None
-    for old, new in years.items():
-        branches = (F if branches is None else branches).when(year == old, F.lit(f"{new}-"))
-    if branches is not None:
-        prefix = branches.otherwise(prefix)
+    if years:
+        entries = [F.lit(part) for old, new in years.items() for part in (old, f"{new}-")]
+        prefix = F.coalesce(F.create_map(*entries)[F.year(date)], prefix)
     return F.concat(prefix, F.date_format(date, "MM-dd"))
 
 

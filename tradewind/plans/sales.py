@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions.dates import parse_date, plus_days, rebase_year
+from tradewind.functions.dates import plus_days
 from tradewind.functions.numbers import magnitude_or_zero, to_double
+from tradewind.operators import calendar
 from tradewind.operators.dimensions import CITY_REGION
 from tradewind.operators.lookup import lookup
 from tradewind.operators.quality import Rule
@@ -23,7 +24,7 @@ def keep_one_order_id(sales: DataFrame) -> DataFrame:
 
 def rebase_dates(sales: DataFrame, unmapped: str = "drop") -> DataFrame:
     """Parse ``M/d/yy`` text and write it back as text with the year moved to 2021-2024."""
-    return sales.withColumns({c: rebase_year(parse_date(c, "M/d/yy"), unmapped=unmapped) for c in DATES})
+    return calendar.rebase_dates(sales, *DATES, unmapped=unmapped)
 
 
 def cast_numbers(sales: DataFrame) -> DataFrame:
@@ -51,7 +52,7 @@ def sales_measures(bronze: DataFrame) -> DataFrame:
 
 
 def clean_sales(bronze: DataFrame, unmapped_years: str = "drop") -> DataFrame:
-    """Bronze sales to silver sales, row by row; the only join is the broadcast city dimension."""
+    """Bronze sales to silver sales, row by row; its only joins are with the broadcast calendar and city dimensions."""
     return (
         bronze.transform(keep_one_order_id)
         .transform(rebase_dates, unmapped_years)

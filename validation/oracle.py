@@ -202,6 +202,21 @@ select EmployeeID, {_letters("LastName")} as LastName, {_letters("FirstName")} a
   {_strict_date("BirthDate")} as BirthDate, {_strict_date("HireDate")} as HireDate, ReportsTo
 from raw_employees""",
 }
+STEPS |= {
+    "silver_sales": f"""
+select * exclude (city, region) replace (coalesce(region, ShipRegion) as ShipRegion, {_repaired("UnitPrice")},
+  {_repaired("Quantity")}, {_repaired("Discount")})
+from filled left join city_region on ShipCity = city""",
+    "silver_products": f"""
+select ProductID, coalesce(ProductName, 'Unknown') as ProductName, SupplierID, r.CategoryID, QuantityPerUnit,
+  {_price("UnitPrice")} as UnitPrice, try_cast({_digits("UnitsInStock")} as int) as UnitsInStock,
+  try_cast({_digits("UnitsOnOrder")} as int) as UnitsOnOrder, Quantity, Description, StatutProduit, ClassProduct
+from raw_products r join packages using (ProductID) join demand using (ProductID) join classes using (ProductID)""",
+    "silver_customers": "select * from on_continent join value using (CustomerID)",
+    "silver_vat": """
+select CountryID, case Country when 'Allemagne' then 'Germany' else Country end as Country, Rate from raw_tva""",
+}
+
 
 def _query(body: str) -> str:
     """The body behind the common table expressions it needs, directly or through others."""
@@ -230,6 +245,14 @@ RAW_SALES_COLUMNS = (
     "ShipName", "ShipAddress", "ShipCity", "ShipRegion", "ShipPostalCode", "ShipCountry", "OrderID14", "ProductID",
     "UnitPrice", "Quantity", "Discount",
 )
+PRODUCT_COLUMNS = (
+    "ProductID", "ProductName", "SupplierID", "CategoryID", "QuantityPerUnit", "UnitPrice", "UnitsInStock",
+    "UnitsOnOrder", "Quantity", "Description", "StatutProduit", "ClassProduct",
+)
+CUSTOMER_COLUMNS = (
+    "CustomerID", "CompanyName", "City", "PostalCode", "Region", "Country", "Phone", "Fax", "CodeRegion",
+    "StatutClient",
+)
 EMPLOYEE_COLUMNS = (
     "EmployeeID", "LastName", "FirstName", "Title", "Region", "Country", "HomePhone", "BirthDate", "HireDate",
     "ReportsTo",
@@ -240,11 +263,12 @@ RAW_EMPLOYEE_COLUMNS = (
 )
 
 
-def _audit(table: str, label: str, columns: tuple[str, ...]) -> str:
+def _audit(*tables: tuple[str, str, tuple[str, ...]]) -> str:
     rows = "\nunion all ".join(
         f"""select '{label}' as table_name, '{c}' as column_name, count(*) filter ({c} is null) as null_count,
   count(*) as row_count, case when count(*) filter ({c} is null) > 0 then 'WARNING' else 'INFO' end as level
 from {table}"""
+        for table, label, columns in tables
         for c in columns
     )
     return _query(rows)
@@ -324,6 +348,15 @@ where s.UnitPrice {condition} try_cast(p.UnitPrice as double)""")
 ORACLE = {
     "csv_roundtrip": _query("select * from raw_products"),
     "bronze_roundtrip": _query("select * from raw_sales"),
+    "warehouse_run": _audit(
+        ("silver_sales", "sales", SALES_COLUMNS),
+        ("silver_products", "products", PRODUCT_COLUMNS),
+        ("silver_customers", "customers", CUSTOMER_COLUMNS),
+        ("categories", "categories", ("CategoryID", "CategoryName", "Description")),
+        ("employees", "employees", EMPLOYEE_COLUMNS),
+        ("raw_suppliers", "suppliers", ("SupplierID", "CompanyName")),
+        ("silver_vat", "vat", ("CountryID", "Country", "Rate")),
+    ),
     "sales_dedup_header": _query("select * from lines"),
     "sales_numeric_cast": _query("select OrderID, ProductID, Freight, UnitPrice, Quantity, Discount from lines"),
     "rebase_years": _query("select OrderID, ProductID, OrderDate, RequiredDate, ShippedDate from rebased"),
@@ -337,10 +370,7 @@ select count(*) as n from lines left join city_region on ShipCity = city
 where coalesce(region, ShipRegion) is null"""),
     "missing_cities": _query("""
 select distinct ShipCity from raw_sales where ShipCity not in (select city from city_region)"""),
-    "silver_sales": _query(f"""
-select * exclude (city, region) replace (coalesce(region, ShipRegion) as ShipRegion, {_repaired("UnitPrice")},
-  {_repaired("Quantity")}, {_repaired("Discount")})
-from filled left join city_region on ShipCity = city"""),
+    "silver_sales": _query("select * from silver_sales"),
     "line_revenue": _query("select OrderID, ProductID, UnitPrice * Quantity as total_sales_per_product from repaired"),
     "line_net_total": _query("""
 select OrderID, ProductID, UnitPrice * Quantity * (1 - Discount) as total_commande from repaired"""),
@@ -361,11 +391,7 @@ select ProductID, case when CategoryName in ('Cheeses', 'MeatPoultry', 'Seafood'
   when CategoryName in ('Beverages', 'Condiments', 'Confections', 'GrainsCereals', 'Produce') then 'Plant'
   else 'Unknown' end as OriginProduct
 from raw_products p left join categories c on p.CategoryID = c.CategoryID"""),
-    "silver_products": _query(f"""
-select ProductID, coalesce(ProductName, 'Unknown') as ProductName, SupplierID, r.CategoryID, QuantityPerUnit,
-  {_price("UnitPrice")} as UnitPrice, try_cast({_digits("UnitsInStock")} as int) as UnitsInStock,
-  try_cast({_digits("UnitsOnOrder")} as int) as UnitsOnOrder, Quantity, Description, StatutProduit, ClassProduct
-from raw_products r join packages using (ProductID) join demand using (ProductID) join classes using (ProductID)"""),
+    "silver_products": _query("select * from silver_products"),
     "phone_digits": _query("select CustomerID, Phone, Fax from phones"),
     "fill_unknown": _query("select CustomerID, CompanyName, City, PostalCode, Fax from filled_customers"),
     "country_corrections": _query("select CustomerID, Country from corrected"),
@@ -373,19 +399,17 @@ from raw_products r join packages using (ProductID) join demand using (ProductID
     "customer_continent": _query("select CustomerID, Country, CodeRegion from on_continent"),
     "unknown_region_count": _query("select count(*) as n from placed where Region = 'Unknown'"),
     "customer_value_tier": _query("select * from value"),
-    "silver_customers": _query("select * from on_continent join value using (CustomerID)"),
+    "silver_customers": _query("select * from silver_customers"),
     "employee_name_clean": _query("select EmployeeID, LastName, FirstName, HomePhone from employees"),
     "employee_country": _query("select EmployeeID, Country from employees"),
     "employee_dates": _query("select EmployeeID, BirthDate, HireDate from employees"),
     "drop_blob_columns": _query("select * exclude (Photo) from raw_employees"),
     "silver_employees": _query("select * from employees"),
-    "vat_country": _query("""
-select CountryID, case Country when 'Allemagne' then 'Germany' else Country end as Country from raw_tva"""),
-    "silver_vat": _query("""
-select CountryID, case Country when 'Allemagne' then 'Germany' else Country end as Country, Rate from raw_tva"""),
-    "null_audit_employees": _audit("raw_employees", "employees", RAW_EMPLOYEE_COLUMNS),
-    "null_audit_employees_cleaned": _audit("employees", "employees_cleaned", EMPLOYEE_COLUMNS),
-    "null_audit_sales": _audit("raw_sales", "sales", RAW_SALES_COLUMNS),
+    "vat_country": _query("select CountryID, Country from silver_vat"),
+    "silver_vat": _query("select * from silver_vat"),
+    "null_audit_employees": _audit(("raw_employees", "employees", RAW_EMPLOYEE_COLUMNS)),
+    "null_audit_employees_cleaned": _audit(("employees", "employees_cleaned", EMPLOYEE_COLUMNS)),
+    "null_audit_sales": _audit(("raw_sales", "sales", RAW_SALES_COLUMNS)),
     "null_percentages": _percentages("rebased", SALES_COLUMNS),
     "duplicate_keys": _query("""
 select OrderID, ProductID, count(*) as n from lines group by OrderID, ProductID having count(*) > 1"""),

@@ -13,8 +13,9 @@ from tradewind.operators import quality, reconcile, segments, totals
 from tradewind.operators.dimensions import CITY_REGION
 from tradewind.operators.lookup import unmapped_values
 from tradewind.plans import categories, customers, employees, graph, products, sales, vat
-from tradewind.sources.datasets import DATASETS
-from tradewind.sources.files import read_csv, read_table, write_csv, write_table
+from tradewind.plans.warehouse import build_silver
+from tradewind.sources.datasets import DATASETS, SILVER_TYPES
+from tradewind.sources.files import land, read_csv, read_table, write_csv, write_table
 from tradewind.sources.scratch import scratch_path
 from validation.raw_tables import (
     RAW_TABLES,
@@ -59,6 +60,17 @@ def bronze_roundtrip(spark, sf_dir):
     return read_table(spark, lake, "bronze", "sales")
 
 
+def warehouse_run(spark, sf_dir):
+    """CSV files to bronze to silver, all written, then the NULLs in every silver column."""
+    raw, lake = scratch_path(spark, "raw"), scratch_path(spark, "lake")
+    for dataset in DATASETS.values():
+        write_csv(RAW_TABLES[f"raw_{dataset.name}"](spark, sf_dir), f"{raw}/{dataset.csv_file}")
+    land(spark, raw, lake)
+    build_silver(spark, lake)
+    audits = [quality.null_audit(read_table(spark, lake, "silver", name), name) for name in SILVER_TYPES]
+    return reduce(DataFrame.unionAll, audits)
+
+
 # Sales
 
 
@@ -363,6 +375,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         csv_roundtrip,
         bronze_roundtrip,
+        warehouse_run,
         sales_dedup_header,
         sales_numeric_cast,
         rebase_years,

@@ -25,12 +25,6 @@ def _pad(c: Column, width: int) -> Column:
     return F.lpad(_text(c), width, "0")
 
 
-def _slashed(date: Column, width: int = 1) -> Column:
-    """``M/d/yy``, or ``MM/dd/yy`` with ``width=2``."""
-    part = _text if width == 1 else (lambda c: _pad(c, width))
-    return F.concat_ws("/", part(F.month(date)), part(F.dayofmonth(date)), _pad(F.year(date) % 100, 2))
-
-
 def _by_remainder(key: Column, divisor: int, values: dict[int, str | None], other: str | None = None) -> Column:
     rest = key % divisor
     return reduce(
@@ -56,9 +50,9 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         order.alias("OrderID0"),
         customer.alias("CustomerID"),
         F.col("l_suppkey").alias("EmployeeID"),
-        _slashed(ordered).alias("OrderDate"),
-        _slashed(F.date_add(ordered, 28)).alias("RequiredDate"),
-        F.when((line + number) % 11 != 0, _slashed(shipped)).alias("ShippedDate"),
+        F.date_format(ordered, "M/d/yy").alias("OrderDate"),
+        F.date_format(F.date_add(ordered, 28), "M/d/yy").alias("RequiredDate"),
+        F.when((line + number) % 11 != 0, F.date_format(shipped, "M/d/yy")).alias("ShippedDate"),
         (order % 3 + 1).alias("ShipVia"),
         F.col("o_totalprice").alias("Freight"),
         F.concat(F.lit("Ship "), _text(customer), F.lit("-"), _text(number)).alias("ShipName"),
@@ -152,8 +146,8 @@ def raw_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 3 != 0, "WA").alias("Region"),
         F.when(key % 2 == 0, "UKA").otherwise("USA").alias("Country"),
         F.concat(F.lit("(206) 555-"), _text(key)).alias("HomePhone"),
-        F.when(key % 5 == 0, "1/2/63").otherwise(_slashed(born, 2)).alias("BirthDate"),
-        _slashed(hired, 2).alias("HireDate"),
+        F.when(key % 5 == 0, "1/2/63").otherwise(F.date_format(born, "MM/dd/yy")).alias("BirthDate"),
+        F.date_format(hired, "MM/dd/yy").alias("HireDate"),
         F.lit("0x").alias("Photo"),
         F.when(key != 0, F.floor((key - 1) / 3).cast("bigint")).alias("ReportsTo"),
     )

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pytest
 
+from tradewind.__main__ import parse, run
 from tradewind.plans.warehouse import build_silver
 from tradewind.sources import datasets, files, scratch
 
@@ -152,6 +153,27 @@ def test_preview(spark):
     assert files.preview(spark.range(100), 5).count() == 5
 
 
+def test_command_line_runs_every_step(spark, lake, tmp_path):
+    copy = str(tmp_path / "lake")
+    raw = str(Path(lake).parent / "raw")
+    run(spark, parse(["land", raw, copy]))
+    run(spark, parse(["silver", copy, "--tables", "sales", "vat", "--unmapped-years", "keep"]))
+    assert sorted(p.name for p in Path(copy, "silver").iterdir()) == ["sales", "vat"]
+    run(spark, parse(["prices", copy]))
+    synced = files.read_table(spark, copy, "silver", "price_sync").orderBy("OrderID0", "sales_ProductID").collect()
+    # The catalogue price is taken as it is: '1k' is no number here.
+    assert [(r.OrderID0, r.sales_ProductID, r.sales_UnitPrice) for r in synced] == [(1, 11, None), (1, 12, None), (2, 11, None)]
+    run(spark, parse(["graph", copy]))
+    assert len(list(Path(copy, "graph").iterdir())) == 12
+    sold = files.read_table(spark, copy, "graph", "edges_sold").collect()
+    assert [tuple(r) for r in sold] == [(5, 1)]
+
+
+def test_an_unknown_silver_table_is_refused(spark, lake):
+    with pytest.raises(ValueError, match="no silver table orders"):
+        build_silver(spark, lake, ["orders"])
+
+
 class FakeSession:
     def __init__(self, **settings):
         self.conf = self

@@ -1,34 +1,77 @@
-"""The whole run, bronze to silver, in dependency order."""
+"""Whole runs over a lake: bronze to silver, the price-synced sales, and the graph."""
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import partial
 
 from pyspark.sql import SparkSession
 
+from tradewind.operators.reconcile import price_sync
+from tradewind.plans import graph
 from tradewind.plans.categories import clean_categories
 from tradewind.plans.customers import clean_customers
 from tradewind.plans.employees import clean_employees
 from tradewind.plans.products import clean_products
-from tradewind.plans.sales import clean_sales
+from tradewind.plans.sales import clean_sales, keep_one_order_id
 from tradewind.plans.vat import clean_vat
 from tradewind.sources.files import read_table, write_table
 
+SILVER = ("sales", "categories", "products", "customers", "employees", "vat", "suppliers")
 
-def build_silver(spark: SparkSession, lake: str, unmapped_years: str = "drop") -> None:
-    """Write every silver table of ``lake`` from its bronze tables.
+
+def build_silver(
+    spark: SparkSession, lake: str, tables: Collection[str] = SILVER, unmapped_years: str = "drop"
+) -> None:
+    """Write the silver tables of ``lake`` from its bronze tables, in dependency order.
 
     Products and customers read silver sales back as written, with only the columns their totals need, instead of
     repeating the cleaning. A failure of one table raises, and the tables before it stay written.
     """
     bronze = partial(read_table, spark, lake, "bronze")
     silver = partial(read_table, spark, lake, "silver")
+    plans = {
+        "sales": lambda: clean_sales(bronze("sales"), unmapped_years),
+        "categories": lambda: clean_categories(bronze("categories")),
+        "products": lambda: clean_products(bronze("products"), silver("sales"), silver("categories")),
+        "customers": lambda: clean_customers(bronze("customers"), silver("sales")),
+        "employees": lambda: clean_employees(bronze("employees")),
+        "vat": lambda: clean_vat(bronze("tva")),
+        "suppliers": lambda: bronze("suppliers"),
+    }
+    unknown = set(tables) - plans.keys()
+    if unknown:
+        raise ValueError(f"no silver table {', '.join(sorted(unknown))}")
+    for name, plan in plans.items():
+        if name in tables:
+            write_table(plan(), lake, "silver", name)
+
+
+def sync_prices(spark: SparkSession, lake: str) -> None:
+    """Write bronze sales with catalogue prices to silver/price_sync."""
+    bronze = partial(read_table, spark, lake, "bronze")
+    write_table(price_sync(bronze("sales"), bronze("products")), lake, "silver", "price_sync")
+
 
-    write_table(clean_sales(bronze("sales"), unmapped_years), lake, "silver", "sales")
-    write_table(clean_categories(bronze("categories")), lake, "silver", "categories")
-    products = clean_products(bronze("products"), silver("sales"), silver("categories"))
-    write_table(products, lake, "silver", "products")
-    write_table(clean_customers(bronze("customers"), silver("sales")), lake, "silver", "customers")
-    write_table(clean_employees(bronze("employees")), lake, "silver", "employees")
-    write_table(clean_vat(bronze("tva")), lake, "silver", "vat")
-    write_table(bronze("suppliers"), lake, "silver", "suppliers")
+def build_graph(spark: SparkSession, lake: str) -> None:
+    """Write the node and edge tables of ``lake`` from its bronze tables to the graph layer."""
+    bronze = partial(read_table, spark, lake, "bronze")
+    lines = keep_one_order_id(bronze("sales"))
+    products, employees, customers = bronze("products"), bronze("employees"), bronze("customers")
+    suppliers, categories = bronze("suppliers"), bronze("categories")
+    tables = {
+        "nodes_customer": graph.customer_nodes(customers),
+        "nodes_product": graph.product_nodes(products),
+        "nodes_supplier": graph.supplier_nodes(suppliers),
+        "nodes_employee": graph.employee_nodes(employees),
+        "nodes_category": graph.category_nodes(categories),
+        "nodes_order": graph.order_nodes(lines),
+        "edges_order_product": graph.order_product_edges(lines, products),
+        "edges_sold": graph.sold_edges(lines, employees),
+        "edges_purchased": graph.purchased_edges(lines, customers),
+        "edges_supplies": graph.supplies_edges(products, suppliers),
+        "edges_part_of": graph.part_of_edges(products, categories),
+        "edges_reports_to": graph.reports_to_edges(employees),
+    }
+    for name, df in tables.items():
+        write_table(df, lake, "graph", name)

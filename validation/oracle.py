@@ -357,6 +357,26 @@ ORACLE = {
         ("raw_suppliers", "suppliers", ("SupplierID", "CompanyName")),
         ("silver_vat", "vat", ("CountryID", "Country", "Rate")),
     ),
+    "graph_run": _query("""
+select 'nodes_customer' as table_name, count(*) as n from raw_customers
+union all select 'nodes_product', count(*) from raw_products
+union all select 'nodes_supplier', count(*) from raw_suppliers
+union all select 'nodes_employee', count(*) from raw_employees
+union all select 'nodes_category', count(*) from raw_categories
+union all select 'nodes_order', count(distinct OrderID) from lines
+union all select 'edges_order_product', count(distinct (s.OrderID, s.ProductID))
+  from lines s join raw_products p on s.ProductID = p.ProductID
+union all select 'edges_sold', count(distinct (s.EmployeeID, s.OrderID))
+  from lines s join raw_employees e on s.EmployeeID = e.EmployeeID
+union all select 'edges_purchased', count(distinct (s.CustomerID, s.OrderID))
+  from lines s join raw_customers c on s.CustomerID = c.CustomerID
+union all select 'edges_supplies', count(distinct (p.SupplierID, p.ProductID))
+  from raw_products p join raw_suppliers s on p.SupplierID = s.SupplierID
+union all select 'edges_part_of', count(distinct (p.ProductID, p.CategoryID))
+  from raw_products p join raw_categories c on p.CategoryID = c.CategoryID
+union all select 'edges_reports_to', count(distinct (e.EmployeeID, e.ReportsTo))
+  from raw_employees e join raw_employees m on e.ReportsTo = m.EmployeeID
+union all select 'price_sync', count(*) from raw_sales"""),
     "sales_dedup_header": _query("select * from lines"),
     "sales_numeric_cast": _query("select OrderID, ProductID, Freight, UnitPrice, Quantity, Discount from lines"),
     "rebase_years": _query("select OrderID, ProductID, OrderDate, RequiredDate, ShippedDate from rebased"),

@@ -13,7 +13,7 @@ from tradewind.operators import quality, reconcile, segments, totals
 from tradewind.operators.dimensions import CITY_REGION
 from tradewind.operators.lookup import unmapped_values
 from tradewind.plans import categories, customers, employees, graph, products, sales, vat
-from tradewind.plans.warehouse import build_silver
+from tradewind.plans.warehouse import build_graph, build_silver, sync_prices
 from tradewind.sources.datasets import DATASETS, SILVER_TYPES
 from tradewind.sources.files import land, read_csv, read_table, write_csv, write_table
 from tradewind.sources.scratch import scratch_path
@@ -71,6 +71,24 @@ def warehouse_run(spark, sf_dir):
     return reduce(DataFrame.unionAll, audits)
 
 
+GRAPH_TABLES = (
+    "nodes_customer", "nodes_product", "nodes_supplier", "nodes_employee", "nodes_category", "nodes_order",
+    "edges_order_product", "edges_sold", "edges_purchased", "edges_supplies", "edges_part_of", "edges_reports_to",
+)
+
+
+def graph_run(spark, sf_dir):
+    """Bronze to graph and price-synced sales, all written, then the rows of every table."""
+    lake = scratch_path(spark, "lake")
+    for dataset in DATASETS:
+        write_table(RAW_TABLES[f"raw_{dataset}"](spark, sf_dir), lake, "bronze", dataset)
+    build_graph(spark, lake)
+    sync_prices(spark, lake)
+    tables = {name: read_table(spark, lake, "graph", name) for name in GRAPH_TABLES}
+    tables["price_sync"] = read_table(spark, lake, "silver", "price_sync")
+    return quality.row_counts(tables)
+
+
 # Sales
 
 
@@ -376,6 +394,7 @@ QUERIES: dict[str, Query] = {
         csv_roundtrip,
         bronze_roundtrip,
         warehouse_run,
+        graph_run,
         sales_dedup_header,
         sales_numeric_cast,
         rebase_years,

@@ -27,11 +27,12 @@ def rebase_year(c: Column | str, years: Mapping[int, int] = REBASED_YEARS, unmap
     if unmapped not in ("drop", "keep"):
         raise ValueError(f"unmapped must be 'drop' or 'keep', not {unmapped!r}")
     date = _col(c)
-    prefix = F.lit("") if unmapped == "drop" else F.date_format(date, "yyyy-")
+    text = format_as_text(date)
+    prefix = F.lit("") if unmapped == "drop" else F.substring(text, 1, 5)
     if years:
         entries = [F.lit(part) for old, new in years.items() for part in (old, f"{new}-")]
         prefix = F.coalesce(F.create_map(*entries)[F.year(date)], prefix)
-    return F.concat(prefix, F.date_format(date, "MM-dd"))
+    return F.concat(prefix, F.substring(text, 6, 5))
 
 
 def plus_days(c: Column | str, days: int) -> Column:
@@ -40,5 +41,5 @@ def plus_days(c: Column | str, days: int) -> Column:
 
 
 def format_as_text(c: Column | str) -> Column:
-    """A date as ``yyyy-MM-dd`` text."""
+    """A date as ``yyyy-MM-dd`` text. Unlike ``date_format``, the cast does not pass through the time zone."""
     return _col(c).cast("string")

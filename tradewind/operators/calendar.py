@@ -22,10 +22,15 @@ _REBASED = "_calendar_rebased"
 
 
 def calendar(spark: SparkSession, years: Mapping[int, int], unmapped: str) -> DataFrame:
-    """Every date with a two-digit year: as written and as re-based. One task makes it; its size is fixed."""
+    """Every date with a two-digit year: as written and as re-based. One task makes it; its size is fixed.
+
+    The text is put together from the date's parts, not formatted, so that no time zone can make two days equal.
+    """
     day = F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int"))
+    year = F.lpad((F.year(day) % 100).cast("string"), 2, "0")
+    written = F.concat_ws("/", F.month(day).cast("string"), F.dayofmonth(day).cast("string"), year)
     return spark.range(0, DAYS, 1, 1).select(
-        F.date_format(day, PATTERN).alias(_TEXT), rebase_year(day, years, unmapped).alias(_REBASED)
+        written.alias(_TEXT), rebase_year(day, years, unmapped).alias(_REBASED)
     )
 
 

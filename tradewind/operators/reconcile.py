@@ -17,9 +17,8 @@ SYNCED_COLUMNS = (
 def _with_both_prices(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Sales with the catalogue price next to their own.
 
-    Sales are many per product and one product may dominate, so a shuffled join relies on adaptive execution to
-    split it: a left join may be split on the sales side, and the only other column shuffled per product is its
-    price. A small catalogue is broadcast by Spark after it has seen its size.
+    Sales are many per product, and one product may dominate. Where the catalogue is too large to broadcast, the join
+    shuffles, and adaptive execution splits the dominating product: a left join may be split on the sales side.
     """
     priced = products.select(
         F.col("ProductID").alias("products_ProductID"), to_double("UnitPrice").alias("products_UnitPrice")

@@ -193,6 +193,21 @@ def test_a_dominating_employee_is_split_in_the_edge_join(spark, hot_lines):
     assert got == {tuple(r) for r in hot_lines.select("EmployeeID", "OrderID").distinct().collect()}
 
 
+def test_a_dominating_product_is_split_in_the_edge_join(spark, hot_lines, catalogue):
+    with settings(spark, **SKEW):
+        edges = graph.order_product_edges(hot_lines, catalogue)
+        text = executed(edges)
+        got = {(r.src, r.dst): (r.unitPrice, r.quantity) for r in edges.collect()}
+    assert "skew=true" in text
+    listed = {r.ProductID for r in catalogue.collect()}
+    least = {}
+    for r in hot_lines.where("ProductID is not null").collect():
+        if r.ProductID in listed:
+            pair, line = (r.OrderID, r.ProductID), (r.UnitPrice, r.Quantity)
+            least[pair] = min(least.get(pair, line), line)
+    assert got == least
+
+
 def test_a_dominating_key_reaches_the_final_aggregation_once_per_task(spark, hot_lines):
     """Rows shuffled by a total, a duplicate check and a distinct: at most keys times input tasks, not all lines."""
     from tradewind.operators.totals import product_totals

@@ -95,9 +95,13 @@ class Encoder:
                 odd.append(part)
         self.known.update(zip(odd, self._library([self.lead + p for p in odd]), strict=True))
 
+    def _whole(self, text: str) -> bool:
+        """Whether a text must not be cut."""
+        return self.cut == "none" or _ADJACENT.search(text) is not None
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        parts = [None if self.cut == "none" or _ADJACENT.search(t) else t.split(" ") for t in texts]
+        parts = [None if self._whole(t) else t.split(" ") for t in texts]
         self._learn(set().union(*(some[1:] for some in parts if some)))
         known = self.known.__getitem__
         # Encoded as they are: what stands before a text's first space, and texts that can't be cut.

@@ -8,18 +8,36 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradewind.llm import sentencepiece_codec
 from tradewind.llm.exact_dedup import exact_dedup
 from tradewind.llm.length_histogram import length_histogram
+from tradewind.llm.packing import pack_documents
 from tradewind.llm.sharding import LAW, shard
+from tradewind.llm.token_blocks import read_tokens, write_tokens
+from tradewind.sources.scratch import scratch_path
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    packed = pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE), capacity=2048)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op4_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as token files, and read back."""
+    path = scratch_path(spark, "token-files")
+    write_tokens(_table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE), path)
+    return read_tokens(spark, path, ids=False)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards of nearly equal bytes."""
     placed = shard(_table(spark, sf_dir, "documents"), shards=8)
@@ -28,6 +46,13 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded again: numbers of ids, checksums, and whether the text came back."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = sentencepiece_codec.encode(docs, tokenizer_path(PIECES))
+    return coded.select("doc_id", "n_ids", "ids_crc32", F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The histogram of encoded lengths of all documents."""
     return length_histogram(_table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
@@ -40,7 +65,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op4_token_blocks": op4_token_blocks,
     "op5_sharding": op5_sharding,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_token_counts": op8_token_counts,
     "op10_exact_dedup": op10_exact_dedup,
 }

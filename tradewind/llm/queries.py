@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import sentencepiece_codec
+from tradewind.llm.embedding_dedup import embedding_groups
 from tradewind.llm.exact_dedup import exact_dedup
 from tradewind.llm.length_histogram import length_histogram
 from tradewind.llm.packing import pack_documents
 from tradewind.llm.sharding import LAW, shard
+from tradewind.llm.simhash import simhash_groups
 from tradewind.llm.token_blocks import read_tokens, write_tokens
 from tradewind.sources.scratch import scratch_path
 
@@ -31,6 +33,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their fingerprints and near-duplicate groups."""
+    return simhash_groups(_table(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
 def op4_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as token files, and read back."""
     path = scratch_path(spark, "token-files")
@@ -46,6 +53,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors with their near-duplicate groups."""
+    return embedding_groups(_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded again: numbers of ids, checksums, and whether the text came back."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -66,8 +78,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_simhash": op3_simhash,
     "op4_token_blocks": op4_token_blocks,
     "op5_sharding": op5_sharding,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_token_counts": op8_token_counts,
     "op10_exact_dedup": op10_exact_dedup,

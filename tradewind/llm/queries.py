@@ -13,6 +13,7 @@ from tradewind.llm.embedding_dedup import embedding_groups
 from tradewind.llm.exact_dedup import exact_dedup
 from tradewind.llm.length_histogram import length_histogram
 from tradewind.llm.packing import pack_documents
+from tradewind.llm.quality import quality
 from tradewind.llm.sharding import LAW, shard
 from tradewind.llm.simhash import simhash_groups
 from tradewind.llm.token_blocks import read_tokens, write_tokens
@@ -70,6 +71,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram(_table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their quality and whether the classifier accepts them."""
+    return quality(_table(spark, sf_dir, "documents")).select("doc_id", "quality_score", "accepted")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its group of equal texts."""
     found = exact_dedup(_table(spark, sf_dir, "documents"), keep="largest")
@@ -84,5 +90,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_token_counts": op8_token_counts,
+    "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
 }

@@ -16,6 +16,7 @@ from tradewind.llm.packing import pack_documents
 from tradewind.llm.quality import quality
 from tradewind.llm.sharding import LAW, shard
 from tradewind.llm.simhash import simhash_groups
+from tradewind.llm.substring_dedup import repeated_passages
 from tradewind.llm.token_blocks import read_tokens, write_tokens
 from tradewind.sources.scratch import scratch_path
 
@@ -34,6 +35,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All passages of 50 words or more that documents repeat."""
+    return repeated_passages(_table(spark, sf_dir, "documents"), least=50)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their fingerprints and near-duplicate groups."""
     return simhash_groups(_table(spark, sf_dir, "documents"), shingle=4, radius=4)
@@ -84,6 +90,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_simhash": op3_simhash,
     "op4_token_blocks": op4_token_blocks,
     "op5_sharding": op5_sharding,

@@ -89,9 +89,22 @@ def test_to_double_gives_null_for_bad_text(spark):
     assert evaluate(spark, ["1.5", "x", "", None], fn.to_double) == [1.5, None, None, None]
 
 
-def test_exact_raises_rather_than_losing_a_large_value(spark):
-    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
-        evaluate(spark, [1e12], lambda c: fn.exact(c, "decimal(12,4)"), "double")
+def test_to_double_gives_null_for_nan_and_infinity(spark):
+    assert evaluate(spark, ["NaN", "Infinity", "-Infinity", "1e400", "1e8"], fn.to_double) == [None] * 4 + [1e8]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_an_amount_out_of_range_raises_in_both_ansi_modes(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for amount in (1e20, float("nan"), float("inf")):
+            with pytest.raises(Exception, match="amount out of range"):
+                evaluate(spark, [amount], fn.exact_amount, "double")
+        assert [float(x) for x in evaluate(spark, [1e19, 0.00004], fn.exact_amount, "double")] == [1e19, 0.00004]
+        assert evaluate(spark, [None], fn.exact_amount, "double") == [None]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
 
 
 def rebased(c, **options):

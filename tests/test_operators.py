@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tradewind.operators import lookup as lookups
 from tradewind.operators import quality, reconcile, segments, totals
+from tradewind.plans import graph
+from tradewind.plans.warehouse import order_headers
 from tradewind.operators.dimensions import CITY_REGION, COUNTRY_CONTINENT, COUNTRY_REGION
 from tradewind.plans import categories, customers, employees, sales, vat
 
@@ -160,6 +162,34 @@ def test_totals_are_exact_and_do_not_depend_on_order(tables):
         assert rows(totals.customer_totals(shuffled)) == [(7, float(net)), (8, 7.5)]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_totals_round_no_factor_and_drop_no_amount(spark, tables, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        lines = [
+            (1, 1, 0.00004, 1e6, 0.0), (2, 2, 1e5, 1.0, 0.333333), (3, 3, 1e8, 1.0, 0.0), (4, 4, 10.0, 1.0, 15.0),
+            (5, 5, 9999.99996, 1.0, 0.0), (5, 5, 40.0, 1.0, 0.0), (6, 6, 1.0, 0.004, 0.0),
+        ]
+        sold = tables(SALES, *lines)
+        revenue = {r.ProductID: r.total_revenue for r in totals.product_totals(sold).collect()}
+        assert [revenue[i] for i in (1, 3, 6)] == [40.0, 1e8, 0.004]
+        net = {r.CustomerID: r.total_commande_client for r in totals.customer_totals(sold).collect()}
+        assert net[2] == pytest.approx(66666.7) and net[4] == -140.0 and net[5] == 10039.99996
+        people = tables("CustomerID int", *[(i,) for i in range(1, 7)])
+        tier = {r.CustomerID: r.StatutClient for r in segments.with_value_tier(people, sold).collect()}
+        assert tier[5] == "VIP" and tier[3] == "VIP" and tier[1] == "Low"
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_order_nodes_and_unmerged_headers(tables):
+    lines = tables("OrderID int, EmployeeID int, CustomerID int, ShipName string", (1, 1, 1, "b"), (1, 1, 1, "a"), (2, 1, 1, "c"), (2, 1, 1, "c"))
+    assert rows(quality.duplicate_keys(order_headers(lines), "OrderID")) == [(1, 2)]
+    nodes = graph.order_nodes(lines)
+    assert rows(nodes) == [(1, "a"), (2, "c")] and rows(quality.duplicate_keys(nodes, "orderID")) == []
+
+
 def test_line_amounts(tables):
     df = tables(SALES, (1, 1, 10.0, 3.0, 0.1))
     assert rows(totals.line_net_total(totals.line_revenue(df)).select("total_sales_per_product", "total_commande")) == [

@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 
 from tradewind.__main__ import parse, run
-from tradewind.plans.warehouse import build_silver
+from tradewind.plans.warehouse import AUDITS, build_silver
 from tradewind.sources import datasets, files, scratch
 
 HEADER = (
@@ -61,7 +61,8 @@ def test_every_dataset_lands(spark, lake):
     assert sorted(p.name for p in Path(lake, "bronze").iterdir()) == sorted(datasets.DATASETS)
     landed = files.read_table(spark, lake, "bronze", "sales")
     assert landed.columns[0] == "OrderID0" and landed.columns[14] == "OrderID14"
-    assert {c: t for c, t in landed.dtypes if t != "string"} == datasets.DATASETS["sales"].types
+    typed = {"OrderID" if c.startswith("OrderID") else c: t for c, t in landed.dtypes if t != "string"}
+    assert typed == datasets.DATASETS["sales"].types and dict(landed.dtypes)["OrderID14"] == "bigint"
     # A column the dataset does not name lands as text; a number that does not parse is NULL.
     assert dict(files.read_table(spark, lake, "bronze", "customers").dtypes)["Extra"] == "string"
     assert [r.Freight for r in landed.orderBy("OrderID0", "ProductID").collect()] == [32.38, 32.38, None]
@@ -134,11 +135,36 @@ def test_inferred_and_untyped_csv(spark, tmp_path):
     assert files.read_csv(spark, str(path)).dtypes == [("n", "string"), ("x", "string")]
 
 
-def test_a_key_that_does_not_parse_raises(spark, tmp_path):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_a_key_that_does_not_parse_raises(spark, tmp_path, ansi):
     path = tmp_path / "a.csv"
-    path.write_text("id,x\n1,2.5\nA,1\n")
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        files.read_csv(spark, str(path), {"id": "bigint"}).collect()
+    path.write_text("id,x\n1,2.5\nA,1\n,3\n")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="id is no bigint: A"):
+            files.read_csv(spark, str(path), {"id": "bigint"}).collect()
+        assert files.read_csv(spark, str(path), {"x": "double"}).where("id is null").count() == 1
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_declared_columns_match_without_case_and_must_be_there(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("orderid,x\n1,2.5\n")
+    assert files.read_csv(spark, str(path), {"OrderID": "bigint"}).dtypes == [("orderid", "bigint"), ("x", "string")]
+    with pytest.raises(ValueError, match="has no column ProductID"):
+        files.read_csv(spark, str(path), {"ProductID": "bigint"})
+    path.write_text("OrderID,x,OrderID\n1,2.5,1\n")
+    twice = files.read_csv(spark, str(path), {"OrderID": "bigint"})
+    assert twice.dtypes == [("OrderID0", "bigint"), ("x", "string"), ("OrderID2", "bigint")]
+
+
+def test_a_quoted_value_may_hold_a_line_break(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('id,t\n1,"a\nb"\n2,c\n')
+    read = files.read_csv(spark, str(path), {"id": "bigint"}, multiline=True)
+    assert [tuple(r) for r in read.orderBy("id").collect()] == [(1, "a\nb"), (2, "c")]
 
 
 def test_empty_text_comes_back_from_csv_as_null(spark, tmp_path):
@@ -164,7 +190,11 @@ def test_command_line_runs_every_step(spark, lake, tmp_path):
     # The catalogue price is taken as it is: '1k' is no number here.
     assert [(r.OrderID0, r.sales_ProductID, r.sales_UnitPrice) for r in synced] == [(1, 11, None), (1, 12, None), (2, 11, None)]
     run(spark, parse(["graph", copy]))
-    assert len(list(Path(copy, "graph").iterdir())) == 12
+    assert len(list(Path(copy, "graph").iterdir())) == 13  # twelve tables, and the order headers they share
+    run(spark, parse(["audit", copy]))
+    assert sorted(p.name for p in Path(copy, "audit").iterdir()) == sorted(AUDITS)
+    counted = files.read_table(spark, copy, "audit", "row_counts").where("table_name like 'silver.%'").collect()
+    assert sorted(r.table_name for r in counted) == ["silver.sales", "silver.vat"]
     sold = files.read_table(spark, copy, "graph", "edges_sold").collect()
     assert [tuple(r) for r in sold] == [(5, 1)]
 
@@ -193,3 +223,10 @@ def test_scratch_folder_must_be_named_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch.scratch_path(FakeSession(spark_master="yarn"), "a")
     assert scratch.scratch_path(FakeSession(spark_master="local[2]"), "a")
+
+
+def test_a_bare_local_scratch_folder_is_refused_on_a_cluster():
+    cluster = {"spark_master": "local-cluster[2,1,1024]"}
+    with pytest.raises(ValueError, match="bare local path"):
+        scratch.scratch_path(FakeSession(**cluster, spark_checkpoint_dir="/tmp/x"), "a")
+    assert scratch.scratch_path(FakeSession(**cluster, spark_checkpoint_dir="file:///shared/x"), "a")

@@ -9,7 +9,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from tradewind.plans.warehouse import SILVER, build_graph, build_silver, sync_prices
+from tradewind.plans.warehouse import SILVER, audit, build_graph, build_silver, sync_prices
 from tradewind.sources.files import land
 
 
@@ -24,7 +24,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     silver.add_argument("lake")
     silver.add_argument("--tables", nargs="+", choices=SILVER, default=SILVER)
     silver.add_argument("--unmapped-years", choices=("drop", "keep"), default="drop")
-    for name, text in (("prices", "bronze sales with catalogue prices"), ("graph", "node and edge tables")):
+    silver.add_argument("--audit", action="store_true", help="write the audit tables afterwards")
+    for name, text in (("audit", "NULLs, row counts, repeated keys and quality rules"), ("prices", "bronze sales with catalogue prices"), ("graph", "node and edge tables")):
         steps.add_parser(name, help=text).add_argument("lake")
     return parser.parse_args(arguments)
 
@@ -34,6 +35,10 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
         land(spark, options.raw, options.lake, infer=options.infer)
     elif options.step == "silver":
         build_silver(spark, options.lake, options.tables, options.unmapped_years)
+        if options.audit:
+            audit(spark, options.lake)
+    elif options.step == "audit":
+        audit(spark, options.lake)
     elif options.step == "prices":
         sync_prices(spark, options.lake)
     else:

@@ -3,7 +3,7 @@
 from tradewind.functions.dates import format_as_text, parse_date, plus_days, rebase_year
 from tradewind.functions.numbers import (
     digits_to_int,
-    exact,
+    exact_amount,
     magnitude_or_zero,
     thousands_to_double,
     to_double,
@@ -20,7 +20,7 @@ from tradewind.functions.text import (
 
 __all__ = [
     "digits_to_int",
-    "exact",
+    "exact_amount",
     "first_token",
     "format_as_text",
     "is_blank",

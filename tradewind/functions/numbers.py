@@ -7,15 +7,20 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.text import _col, keep_digits
 
-# Digits kept when money is summed. Products of three such values fit DECIMAL(38) without losing scale,
-# so a sum does not depend on the order in which partitions arrive.
-PRICE = "decimal(12,4)"
-QUANTITY = "decimal(12,2)"
-DISCOUNT = "decimal(5,4)"
+# Amounts are summed with this many digits, so that a sum does not depend on the order in which partitions arrive.
+AMOUNT = "decimal(38,8)"
+# Ten billion amounts below it still sum up within AMOUNT.
+AMOUNT_LIMIT = 1e20
+
+
+def _finite(number: Column) -> Column:
+    """NaN and infinity are no numbers here: NULL."""
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def to_double(c: Column | str) -> Column:
-    return _col(c).try_cast("double")
+    """The number in a text; NULL for what is no finite number."""
+    return _finite(_col(c).try_cast("double"))
 
 
 def digits_to_int(c: Column | str) -> Column:
@@ -25,7 +30,7 @@ def digits_to_int(c: Column | str) -> Column:
 
 def thousands_to_double(c: Column | str) -> Column:
     """Price text where each lower-case ``k`` stands for ``000``: ``'1k'`` is 1000, ``'1.5k'`` is 1.5."""
-    return F.replace(_col(c), F.lit("k"), F.lit("000")).try_cast("double")
+    return to_double(F.replace(_col(c), F.lit("k"), F.lit("000")))
 
 
 def magnitude_or_zero(c: Column | str) -> Column:
@@ -33,6 +38,9 @@ def magnitude_or_zero(c: Column | str) -> Column:
     return F.coalesce(F.abs(_col(c)), F.lit(0.0))
 
 
-def exact(c: Column | str, decimal_type: str) -> Column:
-    """A measure as a decimal. A value too large for the type raises rather than being lost (ANSI mode)."""
-    return _col(c).cast(decimal_type)
+def exact_amount(c: Column | str) -> Column:
+    """An amount as a decimal that sums exactly; one that is too large or no number raises, whatever the ANSI mode."""
+    amount = _col(c).cast("double")
+    fits = amount.isNull() | (F.abs(amount) < AMOUNT_LIMIT)
+    complaint = F.concat(F.lit("amount out of range: "), amount.cast("string"))
+    return F.when(fits, amount.try_cast(AMOUNT)).otherwise(F.raise_error(complaint).cast(AMOUNT))

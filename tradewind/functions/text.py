@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The characters that go, and how a package text is written.
+NOT_A_DIGIT = "[^0-9]"
+NOT_IN_A_NAME = r"[^a-zA-Z\s'-]"
+PACKAGE_NUMBER = r"^(\d+)"
+PACKAGE_TEXT = r"^\d+\s(.+)$"
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -12,12 +18,12 @@ def _col(c: Column | str) -> Column:
 
 def keep_digits(c: Column | str) -> Column:
     """Phone, fax and stock counts: everything but 0-9 goes. ``'n.a.'`` becomes ``''``, not NULL."""
-    return F.regexp_replace(_col(c), "[^0-9]", "")
+    return F.regexp_replace(_col(c), NOT_A_DIGIT, "")
 
 
 def keep_person_name(c: Column | str) -> Column:
     """ASCII letters, white space, apostrophe and hyphen stay. Accented letters are removed, not folded."""
-    return F.regexp_replace(_col(c), r"[^a-zA-Z\s'-]", "")
+    return F.regexp_replace(_col(c), NOT_IN_A_NAME, "")
 
 
 def keep_alphanumeric(c: Column | str, also: str = "") -> Column:
@@ -40,10 +46,10 @@ def first_token(c: Column | str) -> Column:
 
 def leading_number(c: Column | str) -> Column:
     """The digits a text starts with, as an int; NULL when it starts with something else."""
-    return F.regexp_extract(_col(c), r"^(\d+)", 1).try_cast("int")
+    return F.regexp_extract(_col(c), PACKAGE_NUMBER, 1).try_cast("int")
 
 
 def text_after_number(c: Column | str) -> Column:
     """What follows a leading number and one white space, with every ``'- '`` taken out."""
-    rest = F.regexp_extract(_col(c), r"^\d+\s(.+)$", 1)
+    rest = F.regexp_extract(_col(c), PACKAGE_TEXT, 1)
     return F.replace(rest, F.lit("- "), F.lit(""))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.dates import REBASED_YEARS, parse_date, rebase_year
@@ -47,3 +47,13 @@ def rebase_dates(
             .drop(_TEXT, _REBASED)
         )
     return df
+
+
+def unreadable(column: str) -> Column:
+    """Whether a date text does not parse, so that it becomes NULL."""
+    return F.col(column).isNotNull() & parse_date(column, PATTERN).isNull()
+
+
+def unmapped_year(column: str, years: Mapping[int, int] = REBASED_YEARS) -> Column:
+    """Whether a date's year has no year to write, so that it is left out."""
+    return ~F.year(parse_date(column, PATTERN)).isin(*years)

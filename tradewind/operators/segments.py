@@ -17,6 +17,12 @@ CLASS_WORDS = {
     "Food": ("GrainsCereals", "Condiments", "Confections", "Cheeses", "MeatPoultry", "Produce", "Seafood"),
     "Tech": ("Tech",),
 }
+# The borders of the tiers.
+HIGH_REVENUE, HIGH_QUANTITY = 10000, 500
+MEDIUM_REVENUE, MEDIUM_QUANTITY = (2000, 10000), (100, 500)
+VIP_TOTAL = 10000
+MIDDLE_TOTAL = (5000, 10000)
+
 ORIGIN_CATEGORIES = {
     "Animal": ("Cheeses", "MeatPoultry", "Seafood"),
     "Plant": ("Beverages", "Condiments", "Confections", "GrainsCereals", "Produce"),
@@ -29,16 +35,16 @@ def demand_tier(revenue: Column, quantity: Column) -> Column:
     The rule has gaps: a large revenue with few pieces sold is Low.
     """
     return (
-        F.when((revenue > 10000) & (quantity > 500), "High Demand")
-        .when(revenue.between(2000, 10000) | quantity.between(100, 500), "Medium Demand")
+        F.when((revenue > HIGH_REVENUE) & (quantity > HIGH_QUANTITY), "High Demand")
+        .when(revenue.between(*MEDIUM_REVENUE) | quantity.between(*MEDIUM_QUANTITY), "Medium Demand")
         .otherwise("Low Demand")
     )
 
 
 def value_tier(net_total: Column) -> Column:
     return (
-        F.when(net_total > 10000, "VIP")
-        .when(net_total.between(5000, 10000), "Moyen")
+        F.when(net_total > VIP_TOTAL, "VIP")
+        .when(net_total.between(*MIDDLE_TOTAL), "Moyen")
         .otherwise("Low")
     )
 

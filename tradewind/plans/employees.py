@@ -11,7 +11,9 @@ from tradewind.operators.dimensions import EMPLOYEE_COUNTRY_FIXES
 from tradewind.operators.lookup import correct_values
 from tradewind.operators.quality import Rule
 
+# The date columns of the file and how it writes dates.
 DATES = ("BirthDate", "HireDate")
+DATE_PATTERN = "MM/dd/yy"
 
 
 def clean_names(employees: DataFrame) -> DataFrame:
@@ -30,7 +32,7 @@ def correct_countries(employees: DataFrame) -> DataFrame:
 
 def parse_dates(employees: DataFrame) -> DataFrame:
     """``MM/dd/yy`` with two digits each, else NULL. Birth years get no century repair: 48 is 2048."""
-    return employees.withColumns({c: parse_date(c, "MM/dd/yy") for c in DATES})
+    return employees.withColumns({c: parse_date(c, DATE_PATTERN) for c in DATES})
 
 
 def clean_employees(bronze: DataFrame) -> DataFrame:

@@ -55,12 +55,12 @@ def category_nodes(categories: DataFrame) -> DataFrame:
 
 
 def order_nodes(order_lines: DataFrame) -> DataFrame:
-    """One node per order id. Of several ship names the least is kept, as rows have no order on a cluster."""
-    return (
-        order_lines.where(F.col("OrderID").isNotNull())
-        .groupBy(F.col("OrderID").alias("orderID"))
-        .agg(F.min("ShipName").alias("shipName"))
-    )
+    """One node per order id. Of several ship names the least is kept, as rows have no order on a cluster.
+
+    Spark sorts for the minimum of a text; so the distinct names of an order, often one, are hashed together first.
+    """
+    named = order_lines.where(F.col("OrderID").isNotNull()).select(F.col("OrderID").alias("orderID"), "ShipName")
+    return named.distinct().groupBy("orderID").agg(F.min("ShipName").alias("shipName"))
 
 
 def _pairs(df: DataFrame, src: str, dst: str) -> DataFrame:

@@ -66,6 +66,13 @@ def clean_sales(bronze: DataFrame, unmapped_years: str = "drop") -> DataFrame:
 def sales_rules() -> list[Rule]:
     rules = [Rule(f"{c} is missing", F.col(c).isNull(), "set to 0") for c in MEASURES]
     rules += [Rule(f"{c} is negative", F.col(c) < 0, "absolute value") for c in MEASURES]
+    rules.append(Rule("Freight is negative", F.col("Freight") < 0, "kept"))
+    rules += [
+        Rule(f"{c} is not finite", F.abs(F.col(c)) >= float("inf"), "set to NULL") for c in ("Freight", *MEASURES)
+    ]
+    for c in DATES:
+        rules.append(Rule(f"{c} is not M/d/yy", calendar.unreadable(c), "set to NULL"))
+        rules.append(Rule(f"{c} has a year outside 95-98", calendar.unmapped_year(c), "year left out"))
     rules.append(Rule("ShippedDate is missing", F.col("ShippedDate").isNull(), "order date plus 7 days"))
     rules.append(
         Rule("ShipCity is not mapped", ~F.col("ShipCity").isin(*CITY_REGION), "ShipRegion left as it was")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.sources.datasets import DATASETS, Dataset
@@ -13,25 +14,43 @@ _MEASURES = ("double", "float", "decimal")
 
 
 def read_csv(
-    spark: SparkSession, path: str, types: Mapping[str, str] | None = None, infer: bool = False
+    spark: SparkSession, path: str, types: Mapping[str, str] | None = None, infer: bool = False, multiline: bool = False
 ) -> DataFrame:
     """A CSV file with a header row. A header name that occurs twice gets its position appended (``OrderID14``).
 
-    Columns are strings unless named in ``types``, which goes by header name, not by position. Measures that do
-    not parse become NULL; other types, such as keys, raise (ANSI mode), so that no key is lost unseen.
-    ``infer=True`` lets Spark guess the types instead, at the price of another pass over the file.
+    Columns are strings unless named in ``types``, which goes by header name without case, not by position, and holds
+    for every copy of a repeated name. A declared column that the file lacks raises. Measures that do not parse become
+    NULL; other types, such as keys, raise whatever the ANSI mode, so that no key is lost unseen. ``infer=True`` lets
+    Spark guess the types instead, at the price of another pass over the file. With ``multiline`` a quoted value may
+    hold line breaks; then a file is not split, so one task reads all of it.
     """
     if infer:
-        return spark.read.csv(path, header=True, inferSchema=True)
-    df = spark.read.csv(path, header=True, inferSchema=False)
+        return spark.read.csv(path, header=True, inferSchema=True, multiLine=multiline)
+    df = spark.read.csv(path, header=True, inferSchema=False, multiLine=multiline)
     casts = {
-        name: F.col(name).try_cast(kind) if kind.startswith(_MEASURES) else F.col(name).cast(kind)
-        for name, kind in (types or {}).items()
-        if name in df.columns
+        name: _typed(name, kind) for declared, kind in (types or {}).items() for name in _copies(df, declared, path)
     }
     return df.withColumns(casts) if casts else df
 
 
+def _copies(df: DataFrame, declared: str, path: str) -> list[str]:
+    """The columns of a declared name: that one, or its numbered copies."""
+    found = [c for c in df.columns if c.lower() == declared.lower()]
+    found = found or [c for c in df.columns if re.fullmatch(re.escape(declared) + r"\d+", c, re.IGNORECASE)]
+    if not found:
+        raise ValueError(f"{path} has no column {declared}")
+    return found
+
+
+def _typed(name: str, kind: str) -> Column:
+    value = F.col(name).try_cast(kind)
+    if kind.startswith(_MEASURES):
+        return value
+    complaint = F.concat(F.lit(f"{name} is no {kind}: "), F.col(name))
+    bad = F.col(name).isNotNull() & value.isNull()
+    return F.when(bad, F.raise_error(complaint).cast(kind)).otherwise(value)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header row, replacing what the folder held. White space around values is kept."""
     df.write.mode("overwrite").csv(

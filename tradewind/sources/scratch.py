@@ -9,13 +9,22 @@ from pyspark.sql import SparkSession
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path under the session's ``spark.checkpoint.dir``.
+    """A new path under the session's ``spark.checkpoint.dir``; its files stay until you clear that folder.
 
-    Without that setting a local session gets a temporary folder; a cluster must name a shared one.
+    On a cluster that setting must name a shared folder, with its scheme: a bare local path is refused, as each executor
+    would write to its own disk. Without the setting a local session, as in tests, gets a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tradewind-")
+    local = spark.conf.get("spark.master", "").split("[")[0] == "local"
+    if not root and not local:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if root and "://" not in root and not root.startswith("file:") and not local and not _has_default_store(spark):
+        raise ValueError(f"spark.checkpoint.dir is {root}, a bare local path: name its file system")
+    root = root or tempfile.mkdtemp(prefix="tradewind-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def _has_default_store(spark: SparkSession) -> bool:
+    """Whether paths without a scheme lie in a distributed store."""
+    store = spark.conf.get("spark.hadoop.fs.defaultFS", None) or "file:///"
+    return not store.startswith("file:")

@@ -146,15 +146,14 @@ select * replace ({_repaired("UnitPrice")}, {_repaired("Quantity")}, {_repaired(
     "city_region": f"select * from {_values(CITY_REGION)} as t(city, region)",
     "country_region": f"select * from {_values(COUNTRY_REGION)} as t(country_name, region_name)",
     "country_continent": f"select * from {_values(COUNTRY_CONTINENT)} as t(country_name, continent)",
-    "exact_lines": """
-select ProductID, CustomerID, cast(UnitPrice as decimal(12,4)) as p, cast(Quantity as decimal(12,2)) as q,
-  cast(Discount as decimal(5,4)) as d from repaired""",
     "product_totals": """
-select ProductID, cast(sum(p * q) as double) as total_revenue, cast(sum(q) as double) as total_quantity_sold
-from exact_lines group by ProductID""",
+select ProductID, cast(sum(cast(UnitPrice * Quantity as decimal(38,8))) as double) as total_revenue,
+  cast(sum(cast(Quantity as decimal(38,8))) as double) as total_quantity_sold
+from repaired group by ProductID""",
     "customer_totals": """
-select CustomerID, cast(sum(p * q * (1 - d)) as double) as total_commande_client
-from exact_lines group by CustomerID""",
+select CustomerID, cast(sum(cast(UnitPrice * Quantity * (1 - Discount) as decimal(38,8))) as double)
+  as total_commande_client
+from repaired group by CustomerID""",
     "demand": """
 select ProductID, case when total_revenue > 10000 and total_quantity_sold > 500 then 'High Demand'
   when total_revenue between 2000 and 10000 or total_quantity_sold between 100 and 500 then 'Medium Demand'
@@ -235,12 +234,14 @@ def _identifiers(sql: str) -> list[str]:
     return "".join(ch if ch.isalnum() or ch == "_" else " " for ch in sql).split()
 
 
+# The columns of the datasets.
 SALES_COLUMNS = (
     "OrderID", "CustomerID", "EmployeeID", "OrderDate", "RequiredDate", "ShippedDate", "ShipVia", "Freight",
     "ShipName", "ShipAddress", "ShipCity", "ShipRegion", "ShipPostalCode", "ShipCountry", "ProductID", "UnitPrice",
     "Quantity", "Discount",
 )
-RAW_SALES_COLUMNS = (
+RAW_# Fixed values: the columns of the datasets.
+SALES_COLUMNS = (
     "OrderID0", "CustomerID", "EmployeeID", "OrderDate", "RequiredDate", "ShippedDate", "ShipVia", "Freight",
     "ShipName", "ShipAddress", "ShipCity", "ShipRegion", "ShipPostalCode", "ShipCountry", "OrderID14", "ProductID",
     "UnitPrice", "Quantity", "Discount",
@@ -279,6 +280,8 @@ def _percentages(table: str, columns: tuple[str, ...]) -> str:
     return _query(f"select {shares} from {table}")
 
 
+_EMPLOYEE_DATES = "* replace (cast(BirthDate as date) as BirthDate, cast(HireDate as date) as HireDate)"
+
 # dataset, table, rule, condition, action
 _RULES = (
     ("sales", "raw_sales", "UnitPrice is missing", "UnitPrice is null", "set to 0"),
@@ -287,6 +290,14 @@ _RULES = (
     ("sales", "raw_sales", "UnitPrice is negative", "UnitPrice < 0", "absolute value"),
     ("sales", "raw_sales", "Quantity is negative", "Quantity < 0", "absolute value"),
     ("sales", "raw_sales", "Discount is negative", "Discount < 0", "absolute value"),
+    ("sales", "raw_sales", "Freight is negative", "Freight < 0", "kept"),
+    *(("sales", "raw_sales", f"{c} is not finite", f"isinf({c}) or isnan({c})", "set to NULL")
+      for c in ("Freight", "UnitPrice", "Quantity", "Discount")),
+    *(rule for c in ("OrderDate", "RequiredDate", "ShippedDate") for rule in (
+        ("sales", "raw_sales", f"{c} is not M/d/yy", rf"not regexp_full_match({c}, '\d{{1,2}}/\d{{1,2}}/\d\d')",
+         "set to NULL"),
+        ("sales", "raw_sales", f"{c} has a year outside 95-98",
+         f"cast(split_part({c}, '/', 3) as int) not between 95 and 98", "year left out"))),
     ("sales", "raw_sales", "ShippedDate is missing", "ShippedDate is null", "order date plus 7 days"),
     ("sales", "raw_sales", "ShipCity is not mapped", "ShipCity not in (select city from city_region)",
      "ShipRegion left as it was"),
@@ -424,7 +435,7 @@ from raw_products p left join categories c on p.CategoryID = c.CategoryID"""),
     "employee_country": _query("select EmployeeID, Country from employees"),
     "employee_dates": _query("select EmployeeID, BirthDate, HireDate from employees"),
     "drop_blob_columns": _query("select * exclude (Photo) from raw_employees"),
-    "silver_employees": _query("select * from employees"),
+    "silver_employees": _query(f"select {_EMPLOYEE_DATES} from employees"),
     "vat_country": _query("select CountryID, Country from silver_vat"),
     "silver_vat": _query("select * from silver_vat"),
     "null_audit_employees": _audit(("raw_employees", "employees", RAW_EMPLOYEE_COLUMNS)),
@@ -476,3 +487,63 @@ from raw_products p join raw_categories c on p.CategoryID = c.CategoryID"""),
 select distinct e.EmployeeID as src, m.EmployeeID as dst
 from raw_employees e join raw_employees m on e.ReportsTo = m.EmployeeID"""),
 }
+
+_PRODUCT_TEXTS = ", ".join(f"cast({c} as varchar) as {c}" for c in ("ProductID", "SupplierID", "CategoryID"))
+_PRODUCT_GUESSES = ", ".join(
+    f"cast({c} as integer) as {c}" for c in ("ProductID", "SupplierID", "CategoryID", "UnitsOnOrder")
+)
+
+
+def _lake_audits() -> str:
+    bronze = {
+        "sales": RAW_SALES_COLUMNS,
+        "products": (*PRODUCT_COLUMNS[:5], "UnitPrice", "UnitsInStock", "UnitsOnOrder"),
+        "customers": tuple(c for c in CUSTOMER_COLUMNS if c not in ("CodeRegion", "StatutClient")),
+        "employees": RAW_EMPLOYEE_COLUMNS,
+        "categories": ("CategoryID", "CategoryName", "Description", "Picture"),
+        "suppliers": ("SupplierID", "CompanyName"),
+        "tva": ("CountryID", "Country", "Rate"),
+    }
+    silver = {
+        "sales": ("silver_sales", SALES_COLUMNS),
+        "products": ("silver_products", PRODUCT_COLUMNS),
+        "customers": ("silver_customers", CUSTOMER_COLUMNS),
+        "categories": ("categories", ("CategoryID", "CategoryName", "Description")),
+        "employees": ("employees", EMPLOYEE_COLUMNS),
+        "suppliers": ("raw_suppliers", ("SupplierID", "CompanyName")),
+        "vat": ("silver_vat", ("CountryID", "Country", "Rate")),
+    }
+    tables = {f"bronze.{name}": (f"raw_{name}", columns) for name, columns in bronze.items()}
+    tables |= {f"silver.{name}": found for name, found in silver.items()}
+    rows = [
+        f"select 'null_audit' as audit, '{label}' as table_name, '{c}' as item, count(*) filter ({c} is null) as n from {t}"
+        for label, (t, columns) in tables.items()
+        for c in columns
+    ]
+    rows += [f"select 'row_counts', '{label}', 'rows', count(*) from {t}" for label, (t, _) in tables.items()]
+    rows += [
+        f"select 'quality_report', '{dataset}', '{rule}', count(*) from {table} where {condition}"
+        for dataset, table, rule, condition, _ in _RULES
+    ]
+    return _query("\nunion all ".join(rows))
+
+
+ORACLE |= {
+    "csv_strings": _query(f"select * replace ({_PRODUCT_TEXTS}) from raw_products"),
+    "csv_inferred": _query(f"select * replace ({_PRODUCT_GUESSES}) from raw_products"),
+    "landed_sales": _query("select * replace (cast(CustomerID as varchar) as CustomerID) from raw_sales"),
+    **{f"lake_silver_{t}": ORACLE[f"silver_{t}"] for t in ("sales", "categories", "products", "customers", "employees", "vat")},
+    "lake_silver_suppliers": _query("select * from raw_suppliers"),
+    **{
+        f"lake_graph_{name.removeprefix('graph_')}": sql
+        for name, sql in ORACLE.items()
+        if name.startswith(("graph_nodes_", "graph_edges_"))
+    },
+    "lake_price_sync": ORACLE["price_sync"],
+    "lake_audits": _lake_audits(),
+    "duplicate_categories": _query("""
+select CategoryID, cast(2 as bigint) as n from raw_categories where CategoryID % 5 = 0"""),
+    "duplicate_orders": _query("""
+select OrderID, count(*) as n from (select distinct OrderID, EmployeeID, CustomerID, ShipName from lines)
+group by OrderID having count(*) > 1"""),
+}

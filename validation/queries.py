@@ -13,7 +13,7 @@ from tradewind.operators import quality, reconcile, segments, totals
 from tradewind.operators.dimensions import CITY_REGION
 from tradewind.operators.lookup import unmapped_values
 from tradewind.plans import categories, customers, employees, graph, products, sales, vat
-from tradewind.plans.warehouse import build_graph, build_silver, sync_prices
+from tradewind.plans.warehouse import GRAPH, SILVER, audit, build_graph, build_silver, order_headers, sync_prices
 from tradewind.sources.datasets import DATASETS, SILVER_TYPES
 from tradewind.sources.files import land, read_csv, read_table, write_csv, write_table
 from tradewind.sources.scratch import scratch_path
@@ -71,20 +71,88 @@ def warehouse_run(spark, sf_dir):
     return reduce(DataFrame.unionAll, audits)
 
 
-GRAPH_TABLES = (
-    "nodes_customer", "nodes_product", "nodes_supplier", "nodes_employee", "nodes_category", "nodes_order",
-    "edges_order_product", "edges_sold", "edges_purchased", "edges_supplies", "edges_part_of", "edges_reports_to",
-)
+def csv_strings(spark, sf_dir):
+    """Every column as text, as a file without declared types is read."""
+    path = scratch_path(spark, "products-csv")
+    write_csv(raw_products(spark, sf_dir), path)
+    return read_csv(spark, path)
 
 
-def graph_run(spark, sf_dir):
-    """Bronze to graph and price-synced sales, all written, then the rows of every table."""
+def csv_inferred(spark, sf_dir):
+    """Types guessed by Spark."""
+    path = scratch_path(spark, "products-csv")
+    write_csv(raw_products(spark, sf_dir), path)
+    return read_csv(spark, path, infer=True)
+
+
+def landed_sales(spark, sf_dir):
+    """Bronze sales after landing their CSV file, all values."""
+    raw, lake = scratch_path(spark, "raw"), scratch_path(spark, "lake")
+    write_csv(raw_sales(spark, sf_dir), f"{raw}/{DATASETS['sales'].csv_file}")
+    land(spark, raw, lake, {"sales": DATASETS["sales"]})
+    return read_table(spark, lake, "bronze", "sales")
+
+
+def _bronze(spark, sf_dir, *datasets):
+    """A lake with these bronze tables."""
     lake = scratch_path(spark, "lake")
-    for dataset in DATASETS:
+    for dataset in datasets:
         write_table(RAW_TABLES[f"raw_{dataset}"](spark, sf_dir), lake, "bronze", dataset)
+    return lake
+
+
+_SILVER_NEEDS = {"products": ("sales", "categories"), "customers": ("sales",)}
+
+
+def _lake_silver(table):
+    def query(spark, sf_dir):
+        tables = (*_SILVER_NEEDS.get(table, ()), table)
+        lake = _bronze(spark, sf_dir, *("tva" if t == "vat" else t for t in tables))
+        build_silver(spark, lake, tables)
+        return read_table(spark, lake, "silver", table)
+
+    query.__name__ = f"lake_silver_{table}"
+    query.__doc__ = f"Silver {table} as read back from the lake."
+    return query
+
+
+def _lake_graph(table):
+    def query(spark, sf_dir):
+        lake = _bronze(spark, sf_dir, *DATASETS)
+        build_graph(spark, lake, (table,))
+        return read_table(spark, lake, "graph", table)
+
+    query.__name__ = f"lake_graph_{table}"
+    query.__doc__ = f"Graph table {table} as read back from the lake."
+    return query
+
+
+def lake_price_sync(spark, sf_dir):
+    lake = _bronze(spark, sf_dir, "sales", "products")
+    sync_prices(spark, lake)
+    return read_table(spark, lake, "silver", "price_sync")
+
+
+def lake_audits(spark, sf_dir):
+    """The audit tables of a silver run with audits, read back: nulls, rows, repeated keys and rules as one table."""
+    lake = _bronze(spark, sf_dir, *DATASETS)
+    build_silver(spark, lake)
+    audit(spark, lake)
+    found = {name: read_table(spark, lake, "audit", name) for name in ("null_audit", "row_counts", "quality_report")}
+    return (
+        found["null_audit"]
+        .select(F.lit("null_audit").alias("audit"), "table_name", F.col("column_name").alias("item"), F.col("null_count").alias("n"))
+        .unionAll(found["row_counts"].select(F.lit("row_counts"), "table_name", F.lit("rows"), "n"))
+        .unionAll(found["quality_report"].select(F.lit("quality_report"), "dataset", "rule", "affected_rows"))
+    )
+
+
+def graph_run(spark, sf_dir):
+    """Bronze to graph and price-synced sales, all written, then the rows of every table."""
+    lake = _bronze(spark, sf_dir, *DATASETS)
     build_graph(spark, lake)
     sync_prices(spark, lake)
-    tables = {name: read_table(spark, lake, "graph", name) for name in GRAPH_TABLES}
+    tables = {name: read_table(spark, lake, "graph", name) for name in GRAPH}
     tables["price_sync"] = read_table(spark, lake, "silver", "price_sync")
     return quality.row_counts(tables)
 
@@ -197,7 +265,7 @@ def product_origin(spark, sf_dir):
 
 def silver_products(spark, sf_dir):
     return products.clean_products(
-        raw_products(spark, sf_dir), _repaired(spark, sf_dir), _silver_categories(spark, sf_dir)
+        raw_products(spark, sf_dir), silver_sales(spark, sf_dir), _silver_categories(spark, sf_dir)
     )
 
 
@@ -239,7 +307,7 @@ def customer_value_tier(spark, sf_dir):
 
 
 def silver_customers(spark, sf_dir):
-    return customers.clean_customers(raw_customers(spark, sf_dir), _repaired(spark, sf_dir))
+    return customers.clean_customers(raw_customers(spark, sf_dir), silver_sales(spark, sf_dir))
 
 
 def employee_name_clean(spark, sf_dir):
@@ -265,8 +333,7 @@ def drop_blob_columns(spark, sf_dir):
 
 
 def silver_employees(spark, sf_dir):
-    # Dates as text, so that both engines compare the same type.
-    return raw_employees(spark, sf_dir).transform(employees.clean_employees).transform(_dates_as_text)
+    return raw_employees(spark, sf_dir).transform(employees.clean_employees)
 
 
 def vat_country(spark, sf_dir):
@@ -301,6 +368,17 @@ def duplicate_keys(spark, sf_dir):
     return quality.duplicate_keys(_order_lines(spark, sf_dir), *LINE)
 
 
+def duplicate_categories(spark, sf_dir):
+    """Category ids that occur more than once, in categories of which some are repeated."""
+    every = raw_categories(spark, sf_dir)
+    return quality.duplicate_keys(every.unionAll(every.where(F.col("CategoryID") % 5 == 0)), "CategoryID")
+
+
+def duplicate_orders(spark, sf_dir):
+    """Order ids that occur more than once among the order headers, before they are merged to nodes."""
+    return quality.duplicate_keys(order_headers(_order_lines(spark, sf_dir)), "OrderID")
+
+
 def table_row_counts(spark, sf_dir):
     return quality.row_counts({name: build(spark, sf_dir) for name, build in RAW_TABLES.items()})
 
@@ -393,8 +471,15 @@ QUERIES: dict[str, Query] = {
     for query in (
         csv_roundtrip,
         bronze_roundtrip,
+        csv_strings,
+        csv_inferred,
+        landed_sales,
         warehouse_run,
         graph_run,
+        *map(_lake_silver, SILVER),
+        *map(_lake_graph, GRAPH),
+        lake_price_sync,
+        lake_audits,
         sales_dedup_header,
         sales_numeric_cast,
         rebase_years,
@@ -438,6 +523,8 @@ QUERIES: dict[str, Query] = {
         null_audit_sales,
         null_percentages,
         duplicate_keys,
+        duplicate_categories,
+        duplicate_orders,
         table_row_counts,
         quality_report,
         price_sync,

@@ -1,0 +1,244 @@
+"""The methods inside the operators, without Spark, against plain versions of them."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from public_tokenizers import path as tokenizer_path
+from tokenizers import Tokenizer
+
+from tradewind.llm import embedding_dedup, encoding, packing, quality, sharding, simhash, substring_dedup, token_blocks
+from tradewind.llm.sentencepiece_codec import PieceModel, codec
+
+ODD_TEXTS = [
+    "", " ", "  ", " a", "a ", "a\nb", "a \nb", "a\n b", "it's we'll x's  y", "Σ ΑΣ ΑΣ.", "<|endoftext|> x", "a\x1cb \x1c c",
+    "　x y", "İ i̇", "日本語 テスト 🙂 x", "a   b  c", "▁a ▁b", "<s> x </s><unk>", "x<0x0A>y", "é é",
+]
+
+
+def odd_texts(n=400):
+    draw = random.Random(1)
+    return ODD_TEXTS + ["".join(draw.choice("aB \n.'é12́\x1c !Σσ▁日") for _ in range(30)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_cut_texts_get_the_ids_of_whole_ones(name):
+    plain = Tokenizer.from_file(tokenizer_path(name))
+    plain.encode_special_tokens = True
+    own = encoding.encoder(tokenizer_path(name))
+    assert own.cut in ("keep", "drop")
+    for text in odd_texts():
+        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_remembered_parts_can_be_forgotten(monkeypatch):
+    monkeypatch.setattr(encoding, "REMEMBERED", 3)
+    path = tokenizer_path("byte_bpe_50k.json")
+    own = encoding.Encoder(Tokenizer.from_file(path), "keep")
+    texts = ["one two three", "four five six", "one seven eight", "two three four"]
+    alone = [own.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(own.encode([t])[0], "<u4").tolist() for t in texts] == alone
+
+
+def test_sentencepiece_parity():
+    sentencepiece = pytest.importorskip("sentencepiece")
+    path = tokenizer_path("piece_bpe_32k.model")
+    library, own = sentencepiece.SentencePieceProcessor(model_file=path), codec(path)
+    texts = odd_texts()
+    ids = own.encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in ids] == library.encode(texts)
+    assert own.decode(ids) == [library.decode(x) for x in library.encode(texts)]
+
+
+def test_a_unigram_model_takes_the_best_scores():
+    pieces = [("<unk>", 0.0, 2), ("▁", -3.0, 1), ("▁a", -1.0, 1), ("b", -2.0, 1), ("ab", -9.0, 1), ("▁ab", -2.5, 1)]
+    model = PieceModel(pieces=pieces)
+    assert model.tokenizer().encode("ab", add_special_tokens=False).tokens == ["▁ab"]
+    with pytest.raises(ValueError, match="only unigram and BPE"):
+        PieceModel.read(b"\x12\x02\x18\x04")
+
+
+def check_plan(counts, capacity, plan):
+    used = Counter()
+    for filled, copies in plan:
+        assert copies > 0 and sum(x * n for x, n in filled.items()) <= capacity
+        used.update({x: n * copies for x, n in filled.items()})
+    assert used == Counter({x: n for x, n in counts.items() if n})
+    return sum(n for _, n in plan)
+
+
+def fewest(items, capacity):
+    """The least number of bins by trying everything."""
+    best = len(items)
+
+    def put(rest, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if not rest:
+            best = len(bins)
+            return
+        for i in range(len(bins)):
+            if bins[i] + rest[0] <= capacity:
+                put(rest[1:], bins[:i] + [bins[i] + rest[0]] + bins[i + 1 :])
+        put(rest[1:], [*bins, rest[0]])
+
+    put(sorted(items, reverse=True), [])
+    return best
+
+
+def test_bin_completion_against_all_packings():
+    draw, gap = random.Random(2), 0
+    for _ in range(150):
+        capacity = draw.choice([10, 20, 50])
+        items = [draw.randint(1, capacity) for _ in range(draw.randint(0, 9))]
+        counts = dict(Counter(items))
+        found = check_plan(counts, capacity, packing.complete_bins(counts, capacity, 500))
+        assert found <= check_plan(counts, capacity, packing.best_fit(counts, capacity))
+        gap += found - fewest(items, capacity)
+    assert gap == 0
+
+
+def test_bin_completion_reaches_the_bound_on_many_pieces():
+    lengths = np.random.default_rng(0).integers(1, 2048, 20_000)
+    counts = dict(Counter(lengths.tolist()))
+    found = check_plan(counts, 2048, packing.complete_bins(counts, 2048, 3000))
+    assert found <= 1.002 * packing.bound(counts, 2048)
+    assert packing.complete_bins({}, 2048) == []
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 3000])
+def test_token_blocks_come_back(n):
+    draw = np.random.default_rng(n)
+    for ids in (
+        draw.integers(0, 50_000, n), np.zeros(n), draw.integers(0, 2**32, n),
+        np.where(draw.random(n) < 0.05, 2**32 - 1, draw.integers(0, 9, n)),
+    ):
+        ids = ids.astype(np.uint32)
+        payload, starts = token_blocks.pack_blocks(ids)
+        assert (token_blocks.unpack_blocks(payload, starts[:-1]).reshape(-1)[:n] == ids).all()
+        if n > 256:  # one block without the others
+            assert (token_blocks.unpack_blocks(payload, starts[1:2])[0][: n - 256] == ids[256:512]).all()
+
+
+def test_segments_hold_null_ids_and_empty_documents():
+    ids = [np.arange(k).astype("<u4").tobytes() for k in (1, 700, 0)]
+    made = token_blocks.segment(3, [5, None, 7], ids) + b"\n" + token_blocks.segment(3, [8], [ids[0]]) + b"\n"
+    found = [(file, docs, [x.tobytes() for x in some]) for file, docs, some in token_blocks.read_segments(made)]
+    assert found == [(3, [5, None, 7], ids), (3, [8], ids[:1])]
+    with pytest.raises(ValueError, match="no segment"):
+        list(token_blocks.read_segments(b"x" * 100))
+
+
+def test_carry_save_distances():
+    values = np.random.default_rng(0).integers(0, 2**63, 300).astype(np.uint64)
+    values[100:200] = values[100] ^ (np.uint64(1) << np.arange(100).astype(np.uint64) % np.uint64(64))
+    bits = simhash.planes(values)
+    for radius in (0, 1, 3, 4, 7):
+        for shift in (1, 2, 7):
+            far = np.bitwise_count(values[:-shift] ^ values[shift:])
+            near = simhash.within(bits, shift, (1 << (300 - shift)) - 1, radius)
+            assert [near >> i & 1 for i in range(300 - shift)] == (far <= radius).astype(int).tolist()
+
+
+def roots(n, pairs):
+    root = list(range(n))
+    for a, b in pairs:
+        low, high = sorted((root[a], root[b]))
+        root = [low if r == high else r for r in root]
+    return root
+
+
+def test_bucket_links_connect_what_all_pairs_connect():
+    draw = np.random.default_rng(3)
+    bucket = np.sort(draw.integers(0, 12, 250))
+    values = draw.integers(0, 40, 250).astype(np.uint64) * np.uint64(0x0101010101010101)
+    every = [
+        (i, j)
+        for i in range(250)
+        for j in range(i + 1, 250)
+        if bucket[i] == bucket[j] and (int(values[i]) ^ int(values[j])).bit_count() <= 8
+    ]
+    found = simhash.bucket_links(values, bucket, 8)
+    assert len(found) < 250 and roots(250, found) == roots(250, every)
+
+
+def test_every_near_pair_shares_a_bucket():
+    draw = random.Random(4)
+    masks = simhash.masks(4, 3)
+    assert len(masks) == 35
+    for _ in range(300):
+        flips = sum(1 << b for b in draw.sample(range(64), 4))
+        assert any(flips & m == 0 for m in masks)
+
+
+def test_quantisation_bounds_hold():
+    draw = np.random.default_rng(5)
+    unit = draw.normal(size=(60, 48))
+    unit[30:] = unit[:30] + 0.15 * draw.normal(size=(30, 48))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    cosine = unit @ unit.T
+    for threshold in (0.9, 0.98, 0.99):
+        i, j = embedding_dedup.possible(unit, unit, threshold)
+        assert set(zip(*np.nonzero(cosine >= threshold), strict=True)) <= set(zip(i, j, strict=True))
+        assert (np.c_[embedding_dedup.linked(unit, unit, threshold)] == np.argwhere(cosine >= threshold)).all()
+    assert len(i) < 400  # far fewer than all 3600
+
+
+def test_chains_against_every_chain():
+    draw = random.Random(6)
+    for _ in range(60):
+        runs = []
+        for _ in range(draw.randint(1, 7)):
+            first = draw.randint(0, 60)
+            runs.append((first, first + draw.randint(0, 5), draw.randint(-8, 8), draw.randint(1, 3)))
+
+        def follows(a, b):
+            return a[1] < b[0] and a[1] - a[2] < b[0] - b[2]
+
+        def score(chain):
+            gaps = sum((b[0] - a[1]) + (b[0] - b[2] - a[1] + a[2]) for a, b in zip(chain, chain[1:]))
+            return substring_dedup.SHINGLE * sum(r[3] for r in chain) - substring_dedup.GAP_COST * gaps
+
+        def every(chain):
+            yield chain
+            for r in runs:
+                if follows(chain[-1], r):
+                    yield from every([*chain, r])
+
+        best = max(score(c) for r in runs for c in every([r]))
+        found = substring_dedup.chains(runs)
+        weight = {r[:3]: r for r in runs}
+        if len(weight) == len(runs):
+            assert score([weight[r] for r in found[0]]) == pytest.approx(best)
+        assert sum(map(len, found)) == len(runs)
+
+
+def test_passages_and_cut():
+    gains = np.array([-4] * 3 + [1] * 20 + [-4] + [1] * 20 + [-4] * 9 + [1] * 12, dtype=float)
+    assert substring_dedup.passages(gains, 10) == [(3, 44), (53, 65)]
+    assert substring_dedup.passages(gains, 50) == []
+    text = " a  bb\tc\nd é f"
+    assert substring_dedup.cut(text, [(1, 3), (2, 4)]) == " a  é f"
+    assert substring_dedup.cut(text, [(0, 6)]) == " "
+
+
+def test_labellers_are_weighed_by_their_agreement():
+    good, bad = [quality.GOOD] * 8, [quality.BAD] * 3 + [quality.GOOD] * 5
+    none = [quality.NONE] * 8
+    counts = {quality.encode_votes(v): n for v, n in ((good, 900), (bad, 100), (none, 10))}
+    found, _ = quality.posteriors(counts)
+    assert [round(found[quality.encode_votes(v)], 2) for v in (good, bad)] == [1.0, 0.0]
+    assert found[quality.encode_votes(none)] == pytest.approx(0.9, abs=0.02)
+    assert quality.posteriors({})[0] == {}
+    assert quality.decode_votes(quality.encode_votes(bad)) == bad
+
+
+def test_placement_balances_all_measures():
+    items = np.random.default_rng(7).dirichlet(np.ones(500), size=3).T
+    shards = sharding.place(items, 8)
+    sums = np.stack([items[shards == s].sum(axis=0) for s in range(8)])
+    assert np.abs(sums * 8 - 1).max() < 0.05 and np.abs(sums[:, 0] * 8 - 1).max() < 0.02

@@ -7,4 +7,22 @@ ORACLE = {
         from documents
         window same as (partition by coalesce(text, ''))
     """,
+    "op6_embedding_dedup": """
+        with recursive vectors as (
+            select vec_id, label, cast(embedding as double[]) as e from embeddings
+        ), links as (
+            select x.vec_id as a, y.vec_id as b from vectors x join vectors y on x.label = y.label
+            where x.vec_id <> y.vec_id and list_cosine_similarity(x.e, y.e) >= 0.98
+        ), reached(vec_id, other) as (
+            select vec_id, vec_id from vectors
+            union
+            select vec_id, b from reached join links on other = a
+        ), components as (
+            select vec_id, min(other) as component_id from reached group by vec_id
+        ), counts as (
+            select a as vec_id, count(*) as n from links group by a
+        )
+        select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
+        from components left join counts using (vec_id)
+    """,
 }

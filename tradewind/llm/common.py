@@ -44,7 +44,7 @@ def without(df: DataFrame, names: Iterable[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in dropped]
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that one holds about ``most`` bytes of text, or a single row: bounds a worker's memory."""
     for batch in batches:
         rows = batch.num_rows

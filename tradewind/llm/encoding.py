@@ -19,12 +19,13 @@ from tokenizers import Tokenizer
 
 # Parts remembered by one Python worker, twice: when full, those not met since the last time are forgotten. About 200
 # bytes each.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 _ADJACENT = re.compile(r"\s\s")
 # Fixed value: how byte-level tokenizers split text when their file names no pattern.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Below it, letters are the same in every Unicode version, and composed: NFC leaves them.
 _LATIN_END = "\u0250"
+_MARKS = ",.;:!?"
 
 
 def _byte_letters() -> dict[int, int]:
@@ -75,9 +76,14 @@ class Encoder:
         return ids
 
     def _part(self, part: str) -> bytes:
+        """The ids of a part behind a space. Letters, and letters with a mark behind, need no pattern to be split."""
         if self.cut == "drop":
             part = part.lower()
-        return b"".join(map(self._word, self.split(part)))
+        if part.isalpha():
+            return self._word(self.lead + part)
+        if part[-1] in _MARKS and part[:-1].isalpha():
+            return self._word(self.lead + part[:-1]) + self._word(part[-1])
+        return b"".join(map(self._word, self.split(self.lead + part)))
 
     def _learn(self, parts: set[str]) -> None:
         if len(self.known) > REMEMBERED:
@@ -89,12 +95,16 @@ class Encoder:
         self.known.update((p, self.older[p]) for p in again)
         odd = []
         for part in new - again:
-            if part and max(part) < _LATIN_END:
-                self.known[part] = self._part(self.lead + part)
+            if part.isascii() and part or part and max(part) < _LATIN_END:
+                self.known[part] = self._part(part)
             else:
                 odd.append(part)
         self.known.update(zip(odd, self._library([self.lead + p for p in odd]), strict=True))
 
+    def forget(self) -> None:
+        """Free what is remembered."""
+        self.known, self.older, self.words = {}, {}, {}
+
     def _whole(self, text: str) -> bool:
         """Whether a text must not be cut."""
         return self.cut == "none" or _ADJACENT.search(text) is not None

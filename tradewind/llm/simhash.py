@@ -198,5 +198,6 @@ def simhash_groups(
     least = groups.join(distinct, "fp").groupBy("root").agg(F.min("id").alias("component_id"))
     linked = groups.join(least, "root").select("fp", "component_id")
     every = distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "id").alias("component_id"))
+    every = stored(every, "fingerprint-groups")  # so that the join can split a fingerprint that very many rows have
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return rows.join(every, "fp").select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), "component_id")

@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 
 # Parts remembered by one Python worker, twice: when full, those not met since the last time are forgotten. About 200
 # bytes each.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 _ADJACENT = re.compile(r"\s\s")
 # Fixed value: how byte-level tokenizers split text when their file names no pattern.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -61,9 +61,8 @@ class Encoder:
         self.split, self.letters, self.model = regex.compile(pattern).findall, _byte_letters(), tokenizer.model
         self.lead = " " if cut == "keep" else ""
         # Ids of parts after a space and of words: those met lately, and those of the time before.
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.remembered = REMEMBERED
+        self.forget()
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -71,8 +70,10 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         if (ids := self.words.get(word)) is None:
-            tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-            ids = self.words[word] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            if (ids := self.older_words.get(word)) is None:
+                tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+                ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            self.words[word] = ids
         return ids
 
     def _part(self, part: str) -> bytes:
@@ -86,10 +87,10 @@ class Encoder:
         return b"".join(map(self._word, self.split(self.lead + part)))
 
     def _learn(self, parts: set[str]) -> None:
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.known, self.older = {}, self.known
-        if len(self.words) > REMEMBERED:
-            self.words = {}
+        if len(self.words) > self.remembered:
+            self.words, self.older_words = {}, self.words
         new = parts.difference(self.known)
         again = new.intersection(self.older)
         self.known.update((p, self.older[p]) for p in again)
@@ -103,7 +104,10 @@ class Encoder:
 
     def forget(self) -> None:
         """Free what is remembered."""
-        self.known, self.older, self.words = {}, {}, {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bool:
         """Whether a text must not be cut."""

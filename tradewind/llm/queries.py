@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import PATTERN
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import sentencepiece_codec
+from tradewind.llm import bpe_tree, sentencepiece_codec
 from tradewind.llm.embedding_dedup import embedding_groups
 from tradewind.llm.exact_dedup import exact_dedup
 from tradewind.llm.length_histogram import length_histogram
@@ -22,6 +23,7 @@ from tradewind.sources.scratch import scratch_path
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
 
 
@@ -88,6 +90,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by byte-level ranks and decoded again: numbers of ids, and digests of ids and bytes."""
+    coded = bpe_tree.encode(_table(spark, sf_dir, "documents"), tokenizer_path(BYTE_RANKS), PATTERN)
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("ids", "decoded")]
+    return coded.select("doc_id", "n_tokens", *digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_substring_dedup": op2_substring_dedup,
@@ -99,4 +108,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_byte_bpe": op11_byte_bpe,
 }

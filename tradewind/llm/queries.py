@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import bpe_tree, sentencepiece_codec
+from tradewind.llm.centroids import clusters
 from tradewind.llm.embedding_dedup import embedding_groups
 from tradewind.llm.exact_dedup import exact_dedup
 from tradewind.llm.length_histogram import length_histogram
 from tradewind.llm.packing import pack_documents
+from tradewind.llm.periodic_runs import periodic_runs
 from tradewind.llm.quality import quality
 from tradewind.llm.sharding import LAW, shard
 from tradewind.llm.simhash import simhash_groups
@@ -97,6 +99,45 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", *digests)
 
 
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: about every tenth document with a word repeated over and over from some word on."""
+    code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = F.when(F.col("code") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    docs = docs.select("doc_id", "text", code.alias("code")).withColumn("words", chosen)
+    n, g = F.size("words"), F.floor(F.col("code") / 10)
+    docs = docs.withColumns({"n": n, "g": g, "a": g % F.nullif(n, F.lit(0))})
+    rest = F.col("n") - F.col("a")
+    docs = docs.withColumns({"rest": rest, "period": 1 + F.floor(rest / (3 + F.col("g") % 8))})
+    turn = F.slice("words", F.col("a").cast("int") + 1, F.col("period").cast("int"))
+    turns = F.flatten(F.array_repeat(turn, F.ceil(F.col("rest") / F.col("period")).cast("int")))
+    planted = F.concat(F.slice("words", F.lit(1), F.col("a").cast("int")), F.slice(turns, F.lit(1), F.col("rest").cast("int")))
+    text = F.when(F.col("n") > 0, F.array_join(planted, " ")).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their periodic runs: how many, the longest one, and digests of them and of what is left."""
+    found = periodic_runs(_with_periods(_table(spark, sf_dir, "documents")), least=12)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), -r["start"], -r["period"])))
+    found = found.withColumns({"longest": longest, "n_runs": F.size("runs").cast("long")})
+    return found.select(
+        "doc_id",
+        "n_runs",
+        (-F.col("longest.col2")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.col3")).alias("period"),
+        F.expr("1000 * longest.length div -longest.col3").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors in forty clusters, after five rounds."""
+    return clusters(_table(spark, sf_dir, "embeddings"), k=40, rounds=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_substring_dedup": op2_substring_dedup,
@@ -109,4 +150,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_centroids": op13_centroids,
 }

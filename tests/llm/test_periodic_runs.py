@@ -1,0 +1,133 @@
+"""Periodic runs against a comparison of every word with the one each possible period behind."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from tradewind.llm.periodic_runs import maximal_pairs, periodic_runs, repeated_suffixes, runs_of
+from tradewind.llm.queries import op12_periodic_runs
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_runs(words, least):
+    """Start, length and smallest period of each run, by start and period."""
+    n, found = len(words), {}
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j - i + q >= max(least, 2 * q):
+                found.setdefault((i, j - i + q), q)
+            i = j + 1
+    return sorted(((s, n, q) for (s, n), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def collapsed(words, runs):
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def awkward(draw):
+    k, n = draw.randint(1, 3), draw.randint(0, 70)
+    words = [draw.randrange(k) for _ in range(n)]
+    if n > 10 and draw.random() < 0.5:
+        a = draw.randrange(n)
+        p = 1 + (n - a) // draw.randint(2, 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    return words
+
+
+@pytest.mark.parametrize("least", [2, 3, 5, 12])
+def test_random_words(least):
+    draw = random.Random(least)
+    for _ in range(500):
+        words = awkward(draw)
+        assert list(map(tuple, runs_of(np.array(words, np.int64), least).tolist())) == plain_runs(words, least)
+
+
+def test_suffixes_and_pairs_by_definition():
+    draw = random.Random(9)
+    for _ in range(200):
+        words = awkward(draw)
+        n, least = len(words), draw.randint(1, 4)
+
+        def agree(i, j):
+            k = 0
+            while max(i, j) + k < n and words[i + k] == words[j + k]:
+                k += 1
+            return k
+
+        places, common = repeated_suffixes(np.array(words, np.int64), least)
+        repeated = [i for i in range(n) if any(agree(i, j) >= least for j in range(n) if i != j)]
+        assert sorted(places.tolist()) == repeated
+        order = sorted(repeated, key=lambda i: words[i:])
+        assert places.tolist() == order
+        apart = [agree(i, j) for i, j in zip(order, order[1:])]
+        assert common.tolist() == [0, *(x if x >= least else 0 for x in apart)][: len(order)]
+        left = [-1, *words[:-1]] if n else []
+        pairs = maximal_pairs(places.tolist(), common.tolist(), left)
+        every = [(i, j - i, agree(i, j)) for i in range(n) for j in range(i + 1, n)]
+        assert sorted(pairs) == [(i, d, k) for i, d, k in every if k >= max(least, d) and left[i] != left[i + d]]
+
+
+def test_long_repetitive_texts_take_few_steps():
+    fib, longer = [0], [0, 1]
+    while len(longer) < 20_000:
+        fib, longer = longer, longer + fib
+    assert len(runs_of(np.array(longer), 12)) < 2 * len(longer)  # more than a run for each word can't be
+    assert runs_of(np.zeros(60_000, np.int64), 12).tolist() == [[0, 60_000, 1]]
+    assert runs_of(np.arange(50_000) % 7, 12).tolist() == [[0, 50_000, 7]]
+
+
+def test_awkward_rows(spark, documents, nothing):
+    line = "a b c  d\n"
+    more = [(901, line * 40), (902, "x " * 30 + "y " + "x " * 30), (901, line * 40), (None, "z " * 12), (903, "z " * 11)]
+    docs = documents.unionByName(spark.createDataFrame(more, "doc_id long, text string"), allowMissingColumns=True)
+    found = periodic_runs(docs).collect()
+    key = lambda i, text: (i is None, i, text)
+    rows = sorted(((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()), key=lambda r: key(r[0], r[1] or ""))
+    want = []
+    for i, text in rows:
+        words = (text or "").encode().split()
+        runs = plain_runs(words, 12) if len(words) < 500 else []
+        want.append((i, len(words), runs, collapsed([w.decode() for w in words], runs)))
+    got = [(r.doc_id, r.n_words, [tuple(x) for x in r.runs], r.collapsed) for r in found]
+    by_text = lambda r: key(r[0], r[3])
+    assert sorted(got, key=by_text) == sorted(want, key=by_text)
+    assert periodic_runs(nothing).collect() == []
+    with pytest.raises(ValueError, match="two words"):
+        periodic_runs(docs, least=1)
+
+
+def test_query_over_its_whole_table(spark):
+    found = {r.doc_id: tuple(r)[1:] for r in op12_periodic_runs(spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    assert len(found) == len(docs)
+    some = 0
+    for r in docs:
+        words = re.findall(r"[^\x20\x09-\x0D]+", r.text or "")
+        n, h = len(words), zlib.crc32(str(r.doc_id).encode())
+        if h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+        if n > 3000:  # too long for the plain way
+            continue
+        runs = plain_runs(words, 12)
+        some += bool(runs)
+        start, length, period = min(runs, key=lambda x: (-x[1], x[0], x[2])) if runs else (None,) * 3
+        lines = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+        digests = [hashlib.sha256(x.encode()).hexdigest() for x in (lines, collapsed(words, runs))]
+        exponent = 1000 * length // period if runs else None
+        assert found[r.doc_id] == (len(runs), start, length, period, exponent, *digests)
+    assert some > 10

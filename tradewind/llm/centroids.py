@@ -65,7 +65,7 @@ class VpTree:
         order = np.argsort(away, kind="stable")
         self.members.append(some[far : far + 1])
         self.children.append([])
-        for part in np.array_split(order, 2):
+        for part in filter(len, np.array_split(order, 2)):
             low, high = np.sqrt(away[part[[0, -1]]].astype(np.float64))
             self.children[own].append((self._node(np.sort(rest[part]), leaf), float(low), float(high)))
         return own

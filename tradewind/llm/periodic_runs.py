@@ -116,7 +116,7 @@ def maximal_pairs(places: list[int], common: list[int], left: list[int]) -> list
     """All maximal pairs of suffixes in order whose places are no further apart than they have labels in common."""
     found: list[Pair] = []
     open_: list[tuple[int, _Below]] = []
-    for place, following in zip(places, [*common[1:], 0], strict=True):
+    for place, following in zip(places, [*common, 0][1:], strict=True):
         node = _Below(place)
         while open_ and open_[-1][0] >= following:
             size, below = open_.pop()

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.common import stored
 from tradewind.llm.exact_dedup import exact_dedup
-from tradewind.llm.near_dedup import near_groups
 from tradewind.llm.packing import pack_documents
 from tradewind.llm.quality import quality
+from tradewind.llm.simhash import simhash_groups
 from tradewind.llm.substring_dedup import cut_passages
 
 TOKENIZER = "word_bpe_49k.json"
@@ -37,23 +37,28 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 or more in five-word shingles, the one with the smallest id.
+    """Of documents whose fingerprints are linked, four bits apart at most, the one with the smallest id.
 
     Each row is judged by its own text, whatever its id. Null ids come last; of rows with one id any one may stay.
     """
-    rows = stored(_carried(docs).withColumn("node", F.monotonically_increasing_id()), "near-rows")
-    groups = stored(near_groups(rows, least=0.8, shingle=5), "near-components")
-    ranked = groups.join(rows.select("node", "doc_id"), "node")
+    rows = stored(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("node")), "near-rows")
+    named = rows.select("node", "row.doc_id", "row.text")
+    groups = simhash_groups(named.drop("doc_id"), shingle=4, radius=4, id_col="node")
+    groups = stored(groups.select(F.col("doc_id").alias("node"), F.col("component_id").alias("root")), "near-groups")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "node")
-    best = ranked.groupBy("root").agg(F.min(order).alias("best")).select(F.col("best.node").alias("node"))
-    dropped = groups.select("node").join(best, "node", "left_anti")
+    best = groups.join(named.drop("text"), "node").groupBy("root").agg(F.min(order).alias("best"), F.count("*").alias("n"))
+    best = stored(best.where("n > 1").select("root", F.col("best.node").alias("stays")), "near-best")
+    dropped = groups.join(best, "root").where("node <> stays")
     return rows.join(dropped, "node", "left_anti").select("row.*")
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without passages of 50 words or more that an earlier document has; ``n_chars`` follows the text."""
+    """Without passages of 50 words or more that an earlier document has; ``n_chars``, if there, follows the text."""
     cut = cut_passages(docs, least=50)
-    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    if "n_chars" not in docs.columns:
+        return cut
+    n = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text"))
+    return cut.withColumn("n_chars", n.cast(docs.schema["n_chars"].dataType))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,16 +9,15 @@ trigrams and hashed labeller measures, which then decides about every document.
 from __future__ import annotations
 
 import operator
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import text_or_empty
+from tradewind.llm.common import slices, text_or_empty
 
 GOOD, BAD, NONE = 0, 1, 2
 SYMBOLS = "#$%&*|!{}<>~^=_\\"
@@ -122,25 +121,38 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 def train(texts: list[str], good: np.ndarray, rounds: int = 150, rate: float = 0.3, decay: float = 1e-5) -> np.ndarray:
     """Weights of the scorer, and its constant at the end: logistic regression on posterior labels, by Adam."""
-    found = [features(t) for t in texts]
-    row = np.repeat(np.arange(len(found)), [len(p) for p, _ in found])
-    place = np.concatenate([p for p, _ in found]) if found else np.zeros(0, np.int64)
-    value = np.concatenate([v for _, v in found]) if found else np.zeros(0)
     w, m, v = np.zeros((3, FEATURES + 1))
-    for t in range(1, rounds + 1 if found else 0):
-        score = np.bincount(row, value * w[place], len(found)) + w[-1]
-        error = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - good) / len(found)
-        step = np.r_[np.bincount(place, value * error[row], FEATURES), error.sum()] + decay * w
+    if not texts:
+        return w
+    places, values = [], []
+    for text in texts:
+        some, shares = features(text)
+        places.append(some.astype(np.int32))
+        values.append(shares)
+    sizes = np.array([len(p) for p in places])
+    starts = np.cumsum(sizes) - sizes
+    place, value = np.concatenate(places), np.concatenate(values)
+    del places, values
+    for t in range(1, rounds + 1):
+        score = np.add.reduceat(value * w[place], starts) + w[-1]
+        error = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - good) / len(texts)
+        step = np.r_[np.bincount(place, value * np.repeat(error, sizes), FEATURES), error.sum()] + decay * w
         m, v = 0.9 * m + 0.1 * step, 0.99 * v + 0.01 * step**2
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
     return w
 
 
+def _each(texts: Iterator[pa.Array], of: Callable[[str], float], kind: pa.DataType) -> Iterator[pa.Array]:
+    """A value for each text, taken from Arrow a bounded number of bytes at a time."""
+    for some in texts:
+        batch = pa.RecordBatch.from_arrays([some], names=["text"])
+        yield pa.array((of(t) for part in slices([batch], "text") for t in part.column("text").to_pylist()), kind)
+
+
 def _vote(text: Column) -> Column:
-    @F.pandas_udf("int")
-    def vote(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for some in texts:
-            yield pd.Series([encode_votes(votes(*measures(t))) for t in some], dtype="int32")
+    @F.arrow_udf("int")
+    def vote(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return _each(texts, lambda t: encode_votes(votes(*measures(t))), pa.int32())
 
     return vote(text)
 
@@ -148,7 +160,7 @@ def _vote(text: Column) -> Column:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = 4000) -> tuple[dict, np.ndarray]:
     """The posterior of each combination of votes, from all documents, and the scorer's weights.
 
-    The scorer alone is fitted on a sample: the documents whose hashed id falls below a bound that leaves about
+    The scorer alone is fitted on a sample: the rows whose hashed id and text fall below a bound that leaves about
     ``train_rows`` of them, at most twice as many. An empty table gives weights of zero.
     """
     spark = docs.sparkSession
@@ -159,7 +171,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_r
     if not counts:
         return good, np.zeros(FEATURES + 1)
     share = min(1.0, train_rows / sum(counts.values()))
-    chosen = rows.where(F.pmod(F.xxhash64("id", F.lit("train")), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    chosen = rows.where(F.pmod(F.xxhash64("id", "text", F.lit("train")), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
     chosen = chosen.limit(2 * train_rows).select("text", F.lit(0).alias("all"))
 
     def learn(table: pa.Table) -> pa.Table:
@@ -175,11 +187,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_r
 def score(text: Column, weights: np.ndarray) -> Column:
     """The probability that a text is good."""
 
-    @F.pandas_udf("double")
-    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for some in texts:
-            found = (features(t) for t in some)
-            yield pd.Series([float(v @ weights[p] + weights[-1]) for p, v in found], dtype="float64")
+    def linear(text: str) -> float:
+        places, values = features(text)
+        return float(values @ weights[places] + weights[-1])
+
+    @F.arrow_udf("double")
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return _each(texts, linear, pa.float64())
 
     return 1 / (1 + F.exp(-run(text)))
 

@@ -23,6 +23,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -41,16 +42,34 @@ _BLOCK_HEAD = np.dtype([("least", "<u4"), ("width", "u1"), ("odd", "<u2")])
 
 
 def _bits(values: np.ndarray, width: int) -> np.ndarray:
-    """Rows of values as rows of bytes: each value's ``width`` low bits, one after another from the low end."""
-    each = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
-    return np.packbits(each[:, :width].reshape(len(values), -1), axis=1, bitorder="little")
+    """Rows of values as rows of bytes: each value's ``width`` low bits, one after another from the low end.
+
+    64 values fill ``width`` words of 64 bits; value by value, all rows are shifted into place at once.
+    """
+    if not width:
+        return np.zeros((len(values), 0), np.uint8)
+    columns = np.ascontiguousarray(values.reshape(-1, 64).T.astype(np.uint64)) & np.uint64((1 << width) - 1)
+    words = np.zeros((width, columns.shape[1]), np.uint64)
+    for i in range(64):
+        word, shift = divmod(i * width, 64)
+        words[word] |= columns[i] << np.uint64(shift)
+        if shift + width > 64:
+            words[word + 1] |= columns[i] >> np.uint64(64 - shift)
+    return np.ascontiguousarray(words.T).astype("<u8").view(np.uint8).reshape(len(values), -1)
 
 
 def _values(rows: np.ndarray, width: int) -> np.ndarray:
     """The values that ``_bits`` packed."""
-    each = np.zeros((len(rows) * BLOCK, 32), np.uint8)
-    each[:, :width] = np.unpackbits(rows, axis=1, bitorder="little").reshape(-1, width)
-    return np.packbits(each, axis=1, bitorder="little").view("<u4").reshape(-1, BLOCK)
+    words = np.ascontiguousarray(rows.reshape(-1, 8 * width).view("<u8").T)
+    columns = np.empty((64, words.shape[1]), np.uint32)
+    mask = np.uint64((1 << width) - 1)
+    for i in range(64):
+        word, shift = divmod(i * width, 64)
+        value = words[word] >> np.uint64(shift)
+        if shift + width > 64:
+            value |= words[word + 1] << np.uint64(64 - shift)
+        columns[i] = value & mask
+    return np.ascontiguousarray(columns.T).reshape(-1, BLOCK)
 
 
 def pack_blocks(ids: np.ndarray, share: float = 0.9) -> tuple[bytes, np.ndarray]:
@@ -84,17 +103,21 @@ def pack_blocks(ids: np.ndarray, share: float = 0.9) -> tuple[bytes, np.ndarray]
 
 def unpack_blocks(payload: bytes, starts: np.ndarray) -> np.ndarray:
     """A row of 256 ids for each of the blocks at ``starts``. Behind a segment's last id stands its repetition."""
-    raw, starts = np.frombuffer(payload, np.uint8), starts.astype(np.int64)
+    view, at = memoryview(payload), starts.astype(np.int64).tolist()
     size = _BLOCK_HEAD.itemsize
-    heads = raw[starts[:, None] + np.arange(size)].view(_BLOCK_HEAD)[:, 0]
-    out = np.zeros((len(starts), BLOCK), dtype=np.uint32)
+    heads = np.frombuffer(b"".join([view[x : x + size] for x in at]), _BLOCK_HEAD)
+    out = np.zeros((len(at), BLOCK), dtype=np.uint32)
     for w in filter(None, np.unique(heads["width"]).tolist()):
-        at = np.flatnonzero(heads["width"] == w)
-        out[at] = _values(raw[starts[at, None] + size + np.arange(BLOCK * w // 8)], w)
-    begins = starts + size + BLOCK // 8 * heads["width"].astype(np.int64)
-    for i in np.flatnonzero(heads["odd"]).tolist():
-        x, n = int(begins[i]), int(heads["odd"][i])
-        out[i, raw[x : x + n]] = np.frombuffer(payload, "<u4", n, x + n)
+        some = np.flatnonzero(heads["width"] == w)
+        packed = b"".join([view[at[i] + size : at[i] + size + BLOCK // 8 * w] for i in some.tolist()])
+        out[some] = _values(np.frombuffer(packed, np.uint8).reshape(-1, BLOCK // 8 * w), w)
+    odd = np.flatnonzero(heads["odd"])
+    counts = heads["odd"][odd].astype(np.int64)
+    begins = [at[i] + size + BLOCK // 8 * w for i, w in zip(odd.tolist(), heads["width"][odd].tolist(), strict=True)]
+    ends = list(zip(begins, counts.tolist(), strict=True))
+    places = np.frombuffer(b"".join([view[x : x + n] for x, n in ends]), np.uint8)
+    values = np.frombuffer(b"".join([view[x + n : x + 5 * n] for x, n in ends]), "<u4")
+    out[np.repeat(odd, counts), places] = values
     return out + heads["least"][:, None]
 
 
@@ -114,8 +137,8 @@ def segment(file: int, docs: list[int | None], ids: list[bytes], share: float =
     return _HEAD.pack(MAGIC, _HEAD.size + len(body), file, len(docs), len(every), len(starts) - 1) + body
 
 
-def read_segments(content: bytes) -> Iterator[tuple[int, list[int | None], list[np.ndarray]]]:
-    """Of each segment of a file: the order of its file, the documents, and the token ids of each."""
+def read_segments(content: bytes) -> Iterator[tuple[int, list[int | None], np.ndarray, np.ndarray]]:
+    """Of each segment of a file: the order of its file, the documents, all their token ids, and how many each has."""
     at = 0
     while at < len(content):
         magic, size, file, docs, n, blocks = _HEAD.unpack_from(content, at)
@@ -128,7 +151,7 @@ def read_segments(content: bytes) -> Iterator[tuple[int, list[int | None], list[
         starts = np.frombuffer(content, "<u8", blocks + 1, x := x + 4 * docs)
         payload = content[x + 8 * (blocks + 1) : at + size]
         ids = unpack_blocks(payload, starts[:-1]).reshape(-1)[:n]
-        yield file, [d if p else None for d, p in zip(names, present, strict=True)], np.split(ids, np.cumsum(lengths)[:-1])
+        yield file, [d if p else None for d, p in zip(names, present, strict=True)], ids, lengths
         at += size + 1
 
 
@@ -159,8 +182,12 @@ def write_tokens(
             made = segment(file, batch.column("id").to_pylist(), ids, share)
             yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], names=["segment"])
 
-    made = ordered.mapInArrow(write, "segment binary")
-    made.select(F.col("segment").cast("string").alias("value")).write.text(path)
+    write_segments(ordered.mapInArrow(write, "segment binary"), path)
+
+
+def write_segments(segments: DataFrame, path: str) -> None:
+    """One file for each partition. The cast takes the bytes as they are, and so does the writer."""
+    segments.select(F.col("segment").cast("string").alias("value")).write.text(path, compression="none")
 
 
 def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
@@ -174,24 +201,26 @@ def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
         schema = pa.schema([(f.split()[0], pa.int64()) for f in kind.split(", ")])
         for content in (c for batch in batches for c in batch.column("content")):
             first = place = 0
-            for file, docs, found in read_segments(content.as_py()):
-                lengths = np.array([len(x) for x in found], dtype=np.int64)
-                ends = first + np.cumsum(lengths)
+            for file, docs, found, lengths in read_segments(content.as_py()):
+                ends = np.cumsum(lengths)
+                raw = memoryview(found.astype("<u4", copy=False).tobytes())
+                bounds = pairwise([0, *(4 * ends).tolist()])
                 columns = [
                     np.full(len(docs), file),
                     np.arange(place, place + len(docs)),
                     pa.array(docs, pa.int64()),
-                    ends - lengths,
+                    first + ends - lengths,
                     lengths,
-                    [zlib.crc32(x.astype("<u4").tobytes()) for x in found],
+                    [zlib.crc32(raw[a:b]) for a, b in bounds],
                 ]
                 arrays = [pa.array(c, pa.int64()) for c in columns]
                 if ids:
-                    arrays.append(pa.array([x.tolist() for x in found], pa.list_(pa.int64())))
+                    offsets = pa.array(np.r_[0, ends], pa.int32())
+                    arrays.append(pa.ListArray.from_arrays(offsets, pa.array(found.astype(np.int64))))
                     yield pa.RecordBatch.from_arrays(arrays, schema=schema.append(pa.field("ids", pa.list_(pa.int64()))))
                 else:
                     yield pa.RecordBatch.from_arrays(arrays, schema=schema)
-                first, place = int(ends[-1]), place + len(docs)
+                first, place = first + int(ends[-1]), place + len(docs)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
     found = files.mapInArrow(read, kind + (", ids array<long>" if ids else ""))

@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import re
 import struct
+from collections.abc import Callable
 from functools import lru_cache
 
 import regex
@@ -52,6 +53,25 @@ def _cut(spec: dict) -> str:
     return "none"
 
 
+class _Parts(dict):
+    """Ids by part. One that is neither here nor among the ``older`` ones is found."""
+
+    def __init__(self, find: Callable[[str], bytes], older: dict[str, bytes] | None = None):
+        super().__init__()
+        self.find, self.older = find, older or {}
+
+    def __missing__(self, part: str) -> bytes:
+        if (ids := self.older.get(part)) is None:
+            ids = self.find(part)
+        self[part] = ids
+        return ids
+
+    def next(self) -> _Parts:
+        """An empty one, with these as the older ones."""
+        self.older = {}
+        return _Parts(self.find, self)
+
+
 class Encoder:
     """Texts to ids, as little-endian unsigned 32-bit bytes. Strings of special tokens in a text are ordinary text."""
 
@@ -60,67 +80,65 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.split, self.letters, self.model = regex.compile(pattern).findall, _byte_letters(), tokenizer.model
         self.lead = " " if cut == "keep" else ""
-        # Ids of parts after a space and of words: those met lately, and those of the time before.
         self.remembered = REMEMBERED
         self.forget()
 
+    def forget(self) -> None:
+        """Free what is remembered: parts behind a space, parts at the start of a text, and words of the pattern."""
+        self.parts = _Parts(lambda part: self._part(part, self.lead))
+        self.starts = _Parts(lambda part: self._part(part, ""))
+        self.words = _Parts(self._word)
+
+    def _bound(self) -> None:
+        """Of what is remembered, keep those met lately: two generations."""
+        for name in ("parts", "starts", "words"):
+            if len(known := getattr(self, name)) > self.remembered:
+                setattr(self, name, known.next())
+
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(x.ids)}I", *x.ids) for x in found]
 
     def _word(self, word: str) -> bytes:
-        if (ids := self.words.get(word)) is None:
-            if (ids := self.older_words.get(word)) is None:
-                tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-                ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-            self.words[word] = ids
-        return ids
-
-    def _part(self, part: str) -> bytes:
-        """The ids of a part behind a space. Letters, and letters with a mark behind, need no pattern to be split."""
+        tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+
+    def _part(self, part: str, lead: str) -> bytes:
+        """The ids of a part. Letters, and letters with a mark behind, need no pattern to be split."""
+        if not part or not part.isascii() and max(part) >= _LATIN_END:
+            # Alone, as the library's threads cost more than one part.
+            ids = self.tokenizer.encode(lead + part, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
         if self.cut == "drop":
             part = part.lower()
         if part.isalpha():
-            return self._word(self.lead + part)
+            return self._word(lead + part)
         if part[-1] in _MARKS and part[:-1].isalpha():
-            return self._word(self.lead + part[:-1]) + self._word(part[-1])
-        return b"".join(map(self._word, self.split(self.lead + part)))
-
-    def _learn(self, parts: set[str]) -> None:
-        if len(self.known) > self.remembered:
-            self.known, self.older = {}, self.known
-        if len(self.words) > self.remembered:
-            self.words, self.older_words = {}, self.words
-        new = parts.difference(self.known)
-        again = new.intersection(self.older)
-        self.known.update((p, self.older[p]) for p in again)
-        odd = []
-        for part in new - again:
-            if part.isascii() and part or part and max(part) < _LATIN_END:
-                self.known[part] = self._part(part)
-            else:
-                odd.append(part)
-        self.known.update(zip(odd, self._library([self.lead + p for p in odd]), strict=True))
-
-    def forget(self) -> None:
-        """Free what is remembered."""
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.older_words: dict[str, bytes] = {}
+            known = self.parts if lead == self.lead else self.starts
+            return known[part[:-1]] + self.words[part[-1]]
+        return b"".join(map(self.words.__getitem__, self.split(lead + part)))
 
     def _whole(self, text: str) -> bool:
         """Whether a text must not be cut."""
         return self.cut == "none" or _ADJACENT.search(text) is not None
 
+    def _prepare(self, texts: list[str]) -> None:
+        """Called with all texts that will be cut."""
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        parts = [None if self._whole(t) else t.split(" ") for t in texts]
-        self._learn(set().union(*(some[1:] for some in parts if some)))
-        known = self.known.__getitem__
-        # Encoded as they are: what stands before a text's first space, and texts that can't be cut.
-        first = self._library([t if some is None else some[0] for t, some in zip(texts, parts, strict=True)])
-        return [x + b"".join(map(known, some[1:])) if some else x for x, some in zip(first, parts, strict=True)]
+        self._bound()
+        whole = [i for i, t in enumerate(texts) if self._whole(t)]
+        found = dict(zip(whole, self._library([texts[i] for i in whole]), strict=True)) if whole else {}
+        self._prepare([t for i, t in enumerate(texts) if i not in found] if whole else texts)
+        known, out = self.parts.__getitem__, []
+        for i, text in enumerate(texts):
+            if i in found:
+                out.append(found[i])
+                continue
+            first, space, rest = text.partition(" ")
+            out.append(self.starts[first] + b"".join(map(known, rest.split(" "))) if space else self.starts[first])
+        return out
 
 
 @lru_cache(maxsize=4)

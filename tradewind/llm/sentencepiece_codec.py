@@ -131,14 +131,20 @@ class PieceModel:
 
 
 class PieceCodec(Encoder):
-    """Encodes with a piece model; see ``Encoder`` for what is remembered."""
+    """Encodes batches with a piece model; see ``Encoder`` for what is remembered.
+
+    The library puts the space marker before a part that stands alone, as it does before one behind a space.
+    """
 
     def __init__(self, model: PieceModel):
         super().__init__(model.tokenizer(), "piece" if model.cuts_at_spaces else "none")
 
-    def _part(self, part: str) -> bytes:
-        tokens = self.model.tokenize(META + part)
-        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+    def _prepare(self, texts: list[str]) -> None:
+        """All parts that are met for the first time go through the library in one call, which shares them among threads."""
+        new = set().union(*(t.split(" ") for t in texts)).difference(self.parts, self.parts.older)
+        some = list(new)
+        self.parts.update(zip(some, self._library(some), strict=True))
+        self.starts = self.parts  # a text's first part is like any other
 
     def _whole(self, text: str) -> bool:
         return super()._whole(text) or text[:1] == " " or text[-1:] == " " or META in text

@@ -64,9 +64,9 @@ def exact_dedup(
     best = F.max("id") if keep == "largest" else F.min("id")
     leaf = rows.groupBy("run", *KEY).agg(best.alias("best"), F.count("*").alias("n"))
     levels = [stored(leaf, "digest-runs")]
-    for _ in range(rounds):
-        levels.append(merge(levels[-1], fan_in, keep))
-    decided = levels.pop()
+    for _ in range(rounds - 1):  # each level is read again on the way down
+        levels.append(stored(merge(levels[-1], fan_in, keep), "digest-runs"))
+    decided = merge(levels[-1], fan_in, keep)
     for level in reversed(levels):
         entries = level.select(F.col("run").alias("own"), F.floor(F.col("run") / fan_in).alias("run"), *KEY)
         decided = entries.join(decided, ["run", *KEY]).drop("run").withColumnRenamed("own", "run")

@@ -19,6 +19,9 @@ MEASURES = ["size", "tokens", "n"]
 # What each measure counts in the dot product: the law is on bytes.
 WEIGHTS = np.array([4.0, 1.0, 1.0])
 LAW = "bytes"
+# A token, about: a word between white space, or one letter of the scripts that are written without spaces.
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+TOKEN = rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+"
 
 
 def place(items: np.ndarray, shards: int) -> np.ndarray:
@@ -42,7 +45,7 @@ def shard(
 ) -> DataFrame:
     """One row per row of ``docs``: its id, ``size`` (bytes of the text plus 1), ``text_crc32``, ``shard`` and ``slot``.
 
-    Tokens are words between spaces. The law is ``bytes``: shards get nearly equal sizes. Equal texts stay together
+    Tokens are words between white space, and single letters of scripts without spaces; one more for the end. The law is ``bytes``: shards get nearly equal sizes. Equal texts stay together
     unless their group is more than a whole shard of any measure; such a group is split evenly by id. A group is an item
     of its own from 1 / ``own_items`` of the whole on, so there are at most three times that many. Slots count the rows
     of a shard from 0 without gaps. A null text is an empty one, ids may be null or repeat, and every row has its own
@@ -54,7 +57,7 @@ def shard(
         docs[id_col].alias("id"),
         F.unhex(F.sha2(text, 256)).alias("sha"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
-        (F.length(text) - F.length(F.replace(text, F.lit(" "))) + 1).cast("long").alias("tokens"),
+        (F.regexp_count(text, F.lit(TOKEN)) + 1).cast("long").alias("tokens"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
     )
     rows = stored(rows, "shard-rows")

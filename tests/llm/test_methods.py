@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import struct
 from collections import Counter
 
 import numpy as np
@@ -12,6 +13,7 @@ from tokenizers import Tokenizer
 
 from tradewind.llm import embedding_dedup, encoding, packing, quality, sharding, simhash, substring_dedup, token_blocks
 from tradewind.llm.sentencepiece_codec import PieceModel, codec
+from tradewind.sources.scratch import scratch_path
 
 ODD_TEXTS = [
     "", " ", "  ", " a", "a ", "a\nb", "a \nb", "a\n b", "it's we'll x's  y", "Σ ΑΣ ΑΣ.", "<|endoftext|> x", "a\x1cb \x1c c",
@@ -61,6 +63,50 @@ def test_a_unigram_model_takes_the_best_scores():
         PieceModel.read(b"\x12\x02\x18\x04")
 
 
+def model_file(pieces, kind, byte_fallback, dummy_prefix, drop_extra_spaces):
+    """A model file, byte by byte: pieces, the trainer's settings, the normaliser's."""
+    varint = lambda n: bytes([n]) if n < 128 else bytes([n & 127 | 128]) + varint(n >> 7)
+    number = lambda field, n: varint(field << 3) + varint(n)
+    block = lambda field, raw: varint(field << 3 | 2) + varint(len(raw)) + raw
+    made = b""
+    for piece, score, sort in pieces:
+        made += block(1, block(1, piece.encode()) + varint(2 << 3 | 5) + struct.pack("<f", score) + number(3, sort))
+    made += block(2, number(3, kind) + number(35, int(byte_fallback)))
+    return made + block(3, block(1, b"identity") + number(3, int(dummy_prefix)) + number(4, int(drop_extra_spaces)) + number(5, 1))
+
+
+@pytest.mark.parametrize("byte_fallback", [False, True])
+@pytest.mark.parametrize("dummy_prefix", [False, True])
+@pytest.mark.parametrize("drop_extra_spaces", [False, True])
+def test_unigram_parity(byte_fallback, dummy_prefix, drop_extra_spaces, tmp_path):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    draw = random.Random(12)
+    parts = {"".join(draw.choice("ab.é日") for _ in range(draw.randint(1, 4))) for _ in range(60)} | set("ab.é1")
+    parts |= {"▁" + p for p in list(parts)[::3]} | {"▁"}
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)]
+    pieces += [(f"<0x{i:02X}>", 0.0, 6) for i in range(256 * byte_fallback)]
+    pieces += [(p, -draw.uniform(1, 12), 1) for p in sorted(parts)]
+    raw = model_file(pieces, 1, byte_fallback, dummy_prefix, drop_extra_spaces)
+    (tmp_path / "unigram.model").write_bytes(raw)
+    library, own = sentencepiece.SentencePieceProcessor(model_proto=raw), codec(str(tmp_path / "unigram.model"))
+    texts = ["", " ", "a", " a ", "a  b", "ab", "zz a", "日本 a", "a ▁ b", "b\na"]
+    texts += ["".join(draw.choice("aab. é1日x") for _ in range(draw.randint(1, 25))) for _ in range(300)]
+    ids = own.encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in ids] == library.encode(texts)
+    if byte_fallback:
+        assert own.decode(ids) == [library.decode(x) for x in library.encode(texts)]
+
+
+def test_unseen_parts_of_a_batch_go_through_the_library_at_once(monkeypatch):
+    own = codec(tokenizer_path("piece_bpe_32k.model"))
+    own.forget()
+    calls = []
+    monkeypatch.setattr(own, "_library", lambda texts, plain=own._library: calls.append(sorted(texts)) or plain(texts))
+    own.encode(["one two three", "four two five"])
+    own.encode(["six two three"])
+    assert calls == [["five", "four", "one", "three", "two"], ["six"]]
+
+
 def check_plan(counts, capacity, plan):
     used = Counter()
     for filled, copies in plan:
@@ -110,6 +156,64 @@ def test_bin_completion_reaches_the_bound_on_many_pieces():
     assert packing.complete_bins({}, 2048) == []
 
 
+def fewest(pieces, capacity):
+    """The fewest sequences: for each set of pieces, those used and what is in the last one, piece by piece."""
+    best = [(len(pieces) + 1, 0)] * (1 << len(pieces))
+    best[0] = (0, capacity)
+    for some, (n, filled) in enumerate(best):
+        n, filled = best[some]
+        for i, x in enumerate(pieces):
+            if not some >> i & 1:
+                way = (n, filled + x) if filled + x <= capacity else (n + 1, x)
+                best[some | 1 << i] = min(best[some | 1 << i], way)
+    return best[-1][0]
+
+
+def test_bin_completion_finds_the_fewest_sequences():
+    draw = random.Random(4)
+    for _ in range(60):
+        capacity = draw.randint(10, 60)
+        pieces = [draw.randint(1, capacity) for _ in range(draw.randint(1, 10))]
+        counts = dict(Counter(pieces))
+        want = fewest(pieces, capacity)
+        assert packing.bound(counts, capacity) <= want
+        assert check_plan(counts, capacity, packing.complete_bins(counts, capacity)) == want
+
+
+def test_bin_completion_fills_sequences_that_can_be_filled():
+    draw = random.Random(5)
+    for _ in range(1500):
+        capacity, n = draw.choice([30, 50, 100, 1000]), draw.randint(2, 7)
+        pieces = []
+        for _ in range(n):
+            cuts = sorted(draw.sample(range(1, capacity), draw.randint(1, 3)))
+            pieces += [b - a for a, b in zip([0, *cuts], [*cuts, capacity])]
+        counts = dict(Counter(pieces))
+        assert check_plan(counts, capacity, packing.complete_bins(counts, capacity)) == n
+    counts = dict(Counter([2, 2, 3, 3, 4, 7, 10, 18, 19, 22]))
+    assert check_plan(counts, 30, packing.complete_bins(counts, 30)) == 3
+
+
+def test_fillings_are_all_that_are_undominated():
+    draw = random.Random(6)
+    for _ in range(300):
+        room, waste = draw.randint(1, 25), draw.randint(0, 25)
+        pieces = [draw.randint(1, 25) for _ in range(draw.randint(0, 7))]
+        subsets = [[i for i in range(len(pieces)) if m >> i & 1] for m in range(1 << len(pieces))]
+        length = lambda some: sum(pieces[i] for i in some)
+        want = set()
+        for chosen in subsets:
+            free = room - length(chosen)
+            if not 0 <= free <= waste:
+                continue
+            others = [pieces[i] for i in range(len(pieces)) if i not in chosen]
+            inner = [s for s in subsets if set(s) <= set(chosen)]
+            if not any(0 < x - length(s) <= free or (x == length(s) and len(s) > 1) for x in others for s in inner):
+                want.add(tuple(sorted(pieces[i] for i in chosen)))
+        found, _ = packing.undominated(Counter(pieces), room, waste, 10**6)
+        assert {tuple(sorted(Counter(way).elements())) for _, way in found} == want and len(found) == len(want)
+
+
 @pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 3000])
 def test_token_blocks_come_back(n):
     draw = np.random.default_rng(n)
@@ -124,10 +228,31 @@ def test_token_blocks_come_back(n):
             assert (token_blocks.unpack_blocks(payload, starts[1:2])[0][: n - 256] == ids[256:512]).all()
 
 
+@pytest.mark.parametrize("width", [1, 2, 7, 8, 13, 16, 31, 32])
+def test_bits_follow_one_another_from_the_low_end(width):
+    values = np.random.default_rng(width).integers(0, 2**32, (3, 256)).astype(np.uint32)
+    packed = token_blocks._bits(values, width)
+    for row, some in zip(packed, values.tolist(), strict=True):
+        whole = sum((x & ((1 << width) - 1)) << (i * width) for i, x in enumerate(some))
+        assert row.tobytes() == whole.to_bytes(32 * width, "little")
+    assert (token_blocks._values(packed, width) == values & np.uint32((1 << width) - 1)).all()
+
+
+def test_bytes_of_every_kind_come_back_from_files(spark):
+    ids = np.arange(70_000, dtype=np.uint32) * np.uint32(61_681)  # all byte values, line feeds among them
+    path, sizes = scratch_path(spark, "all-bytes"), (1, 255, 256, 70_000)
+    made = [token_blocks.segment(0, [n], [ids[:n].astype("<u4").tobytes()]) for n in sizes]
+    token_blocks.write_segments(spark.createDataFrame([(bytes(m),) for m in made], "segment binary").coalesce(1), path)
+    back = token_blocks.read_tokens(spark, path).collect()
+    assert {r.doc_id: r.ids for r in back} == {n: ids[:n].tolist() for n in sizes}
+
+
 def test_segments_hold_null_ids_and_empty_documents():
     ids = [np.arange(k).astype("<u4").tobytes() for k in (1, 700, 0)]
     made = token_blocks.segment(3, [5, None, 7], ids) + b"\n" + token_blocks.segment(3, [8], [ids[0]]) + b"\n"
-    found = [(file, docs, [x.tobytes() for x in some]) for file, docs, some in token_blocks.read_segments(made)]
+    found = []
+    for file, docs, every, lengths in token_blocks.read_segments(made):
+        found.append((file, docs, [x.tobytes() for x in np.split(every, np.cumsum(lengths)[:-1])]))
     assert found == [(3, [5, None, 7], ids), (3, [8], ids[:1])]
     with pytest.raises(ValueError, match="no segment"):
         list(token_blocks.read_segments(b"x" * 100))
@@ -220,7 +345,8 @@ def test_chains_against_every_chain():
 def test_passages_and_cut():
     gains = np.array([-4] * 3 + [1] * 20 + [-4] + [1] * 20 + [-4] * 9 + [1] * 12, dtype=float)
     assert substring_dedup.passages(gains, 10) == [(3, 44), (53, 65)]
-    assert substring_dedup.passages(gains, 50) == []
+    assert substring_dedup.passages(gains, 50) == [(3, 65)]  # 52 of 62 agree
+    assert substring_dedup.passages(gains[:53], 50) == [] == substring_dedup.passages(gains[:2], 1)
     text = " a  bb\tc\nd é f"
     assert substring_dedup.cut(text, [(1, 3), (2, 4)]) == " a  é f"
     assert substring_dedup.cut(text, [(0, 6)]) == " "
@@ -242,3 +368,70 @@ def test_placement_balances_all_measures():
     shards = sharding.place(items, 8)
     sums = np.stack([items[shards == s].sum(axis=0) for s in range(8)])
     assert np.abs(sums * 8 - 1).max() < 0.05 and np.abs(sums[:, 0] * 8 - 1).max() < 0.02
+
+
+def test_posteriors_equal_expectation_maximisation_document_by_document():
+    draw = random.Random(8)
+    chances = [[(0.8, 0.1), (0.2, 0.6)] for _ in range(8)]  # good and bad votes on good and on bad documents
+    docs = []
+    for _ in range(250):
+        kind = int(draw.random() < 0.3)
+        some = []
+        for labeller in chances:
+            x, (good, bad) = draw.random(), labeller[kind]
+            some.append(quality.GOOD if x < good else quality.BAD if x < good + bad else quality.NONE)
+        docs.append(tuple(some))
+    belief = [0.1 if quality.BAD in some else 0.9 for some in docs]
+    for _ in range(20):
+        prior = (1 + sum(belief)) / (2 + len(docs))
+        says = {}
+        for j in range(8):
+            for kind in (quality.GOOD, quality.BAD):
+                tally = [0.1, 0.1]
+                for some, p in zip(docs, belief):
+                    if some[j] != quality.NONE:
+                        tally[some[j]] += p if kind == quality.GOOD else 1 - p
+                for vote in (quality.GOOD, quality.BAD):
+                    says[j, kind, vote] = tally[vote] / sum(tally)
+        new = []
+        for some in docs:
+            good, bad = prior, 1 - prior
+            for j, vote in enumerate(some):
+                if vote != quality.NONE:
+                    good, bad = good * says[j, quality.GOOD, vote], bad * says[j, quality.BAD, vote]
+            new.append(good / (good + bad))
+        belief = new
+    found, chance = quality.posteriors(Counter(map(quality.encode_votes, docs)), rounds=20)
+    assert [found[quality.encode_votes(some)] for some in docs] == pytest.approx(belief, abs=1e-9)
+    assert all(chance[k, j, v] == pytest.approx(x, abs=1e-9) for (j, k, v), x in says.items())
+
+
+def plain_features(text):
+    raw, found = text.encode(), Counter()
+    for a, b, c in zip(raw, raw[1:], raw[2:]):
+        mixed = (a * 65599 + b * 31 * 257 + c * 40503) % 2**32 * 2654435761 % 2**32
+        found[mixed >> 18] += 1
+    shares = [(place, (n / max(1, len(raw) - 2)) ** 0.5) for place, n in found.items()]
+    values, words = quality.measures(text)
+    for i, x in enumerate(values):
+        step = min(20, int(x * 40)) if words >= 5 else 21
+        shares.append(((i * 22 + step) * 2654435761 % 2**32 >> 18, 0.5))
+    return shares
+
+
+def test_the_scorer_equals_a_plain_one():
+    texts = ["", "a", "plain words of a text. And more of them.", "## $$ !! ## $$", "one two two two three\nline\nline", "é日本 🙂 x"]
+    good = np.array([0.9, 0.5, 0.99, 0.01, 0.3, 0.7])
+    dense = np.zeros((len(texts), quality.FEATURES + 1))
+    dense[:, -1] = 1
+    for i, text in enumerate(texts):
+        for place, value in plain_features(text):
+            dense[i, place] += value
+    w, m, v = np.zeros((3, quality.FEATURES + 1))
+    for t in range(1, 31):
+        step = (1 / (1 + np.exp(-dense @ w)) - good) @ dense / len(texts) + 1e-5 * w
+        m, v = 0.9 * m + 0.1 * step, 0.99 * v + 0.01 * step**2
+        w = w - 0.3 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+    found = quality.train(texts, good, rounds=30)
+    assert dense @ found == pytest.approx(dense @ w, abs=1e-6)
+    assert not quality.train([], np.zeros(0)).any()

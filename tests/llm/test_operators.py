@@ -15,14 +15,15 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tests.llm.test_methods import plain_features
 from tradewind.llm import sentencepiece_codec
 from tradewind.llm.common import components
 from tradewind.llm.embedding_dedup import embedding_groups
 from tradewind.llm.exact_dedup import exact_dedup
 from tradewind.llm.length_histogram import length_histogram, quantile, truncated_total
 from tradewind.llm.packing import pack_documents, sequences
-from tradewind.llm.quality import quality
-from tradewind.llm.sharding import shard
+from tradewind.llm.quality import fit, quality
+from tradewind.llm.sharding import TOKEN, shard
 from tradewind.llm.simhash import simhash_groups
 from tradewind.llm.substring_dedup import cut_passages, repeated_passages
 from tradewind.llm.token_blocks import read_tokens, write_tokens
@@ -128,6 +129,23 @@ def test_sharding(documents, nothing):
     assert shard(nothing).count() == 0
 
 
+def test_many_small_groups_are_balanced(spark):
+    rows = spark.range(40_000).select(F.col("id").alias("doc_id"), F.expr("repeat(concat(id, ' '), 1 + int(id % 97))").alias("text"))
+    placed = shard(rows, shards=8)
+    words = F.col("doc_id") % 97 + 1
+    sums = placed.groupBy("shard").agg(F.sum("size").alias("size"), F.sum(words).alias("words"), F.count("*").alias("n")).collect()
+    for name, apart in (("size", 0.001), ("words", 0.005), ("n", 0.02)):
+        some = [r[name] for r in sums]
+        assert max(some) - min(some) < apart * sum(some) / 8, (name, some)
+
+
+def test_tokens_are_words_or_letters_without_spaces(spark):
+    texts = ["", "a b", "a\tb\nc  d", "日本語", "ab日本 c", "ไทย x", " \n", "über é"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = [r[0] for r in df.select(F.regexp_count("text", F.lit(TOKEN))).collect()]
+    assert found == [0, 2, 4, 3, 4, 4, 0, 2]
+
+
 def test_length_histogram(documents, nothing):
     lengths = [len(ids_of(BYTES, t)) for _, t in rows_of(documents)]
     found = length_histogram(documents, BYTES)
@@ -271,6 +289,10 @@ def test_quality(spark, documents, nothing):
     assert len(scored) == documents.count() and all(0 <= r.quality_score <= 1 for r in scored)
     assert scored[0].asDict().keys() == {*documents.columns, "quality_score", "accepted"}
     assert quality(nothing).count() == 0
+    _, weights = fit(documents, train_rows=100)  # every row scored on its own, in plain Python
+    for r in scored:
+        line = sum(value * weights[place] for place, value in plain_features(r.text or "")) + weights[-1]
+        assert r.quality_score == pytest.approx(1 / (1 + math.exp(-line)), abs=1e-9) and r.accepted == (r.quality_score >= 0.5)
 
 
 def test_quality_on_held_out_labels(spark):

@@ -23,6 +23,7 @@ GOOD, BAD, NONE = 0, 1, 2
 SYMBOLS = "#$%&*|!{}<>~^=_\\"
 _ODD_ENDS = tuple(c + " " for c in SYMBOLS) + ("!! ",)
 FEATURES = 1 << 14
+_PART = 256
 # For each measure: bad from here on, good up to here, and the words a text needs for a vote.
 LIMITS = {
     "symbols": (0.03, 0.01, 5),
@@ -129,14 +130,17 @@ def train(texts: list[str], good: np.ndarray, rounds: int = 150, rate: float = 0
         some, shares = features(text)
         places.append(some.astype(np.int32))
         values.append(shares)
-    sizes = np.array([len(p) for p in places])
-    starts = np.cumsum(sizes) - sizes
-    place, value = np.concatenate(places), np.concatenate(values)
+    sizes = [len(p) for p in places]
+    parts = [slice(i, i + _PART) for i in range(0, len(texts), _PART)]  # bounds what a step holds beside the features
+    joined = [(np.concatenate(places[p]), np.concatenate(values[p]), np.cumsum([0, *sizes[p]])) for p in parts]
     del places, values
     for t in range(1, rounds + 1):
-        score = np.add.reduceat(value * w[place], starts) + w[-1]
-        error = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - good) / len(texts)
-        step = np.r_[np.bincount(place, value * np.repeat(error, sizes), FEATURES), error.sum()] + decay * w
+        step = decay * w
+        for part, (place, value, ends) in zip(parts, joined, strict=True):
+            score = np.add.reduceat(value * w[place], ends[:-1]) + w[-1]
+            error = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - good[part]) / len(texts)
+            step[:-1] += np.bincount(place, value * np.repeat(error, np.diff(ends)), FEATURES)
+            step[-1] += error.sum()
         m, v = 0.9 * m + 0.1 * step, 0.99 * v + 0.01 * step**2
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
     return w

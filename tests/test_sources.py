@@ -174,6 +174,18 @@ def test_empty_text_comes_back_from_csv_as_null(spark, tmp_path):
     assert [tuple(r) for r in back] == [("1", None), ("2", " a ")]
 
 
+def test_malformed_lines_are_counted_and_shown(spark, tmp_path):
+    (tmp_path / "sales.csv").write_text('a,b,c\n1,2,3\n4,5\n6,7,8,9\n"x,y",,\n"q\n,,\n')
+    (tmp_path / "tva_country.csv").write_text("line,_line\n1,2\n3\n")
+    assert {r.line for r in files.malformed_lines(spark, f"{tmp_path}/tva_country.csv").collect()} == {"3"}
+    found = {r.line for r in files.malformed_lines(spark, f"{tmp_path}/sales.csv").collect()}
+    assert {"4,5", "6,7,8,9"} <= found and not found & {"1,2,3", '"x,y",,'}
+    some = {n: datasets.DATASETS[n] for n in ("sales", "tva")}
+    audit = {r.table_name: (r.n_rows, r.n_malformed) for r in files.landing_audit(spark, str(tmp_path), some).collect()}
+    assert audit["tva"] == (2, 1) and audit["sales"][1] == len(found)
+    assert files.malformed_lines(spark, f"{tmp_path}/tva_country.csv").columns == ["line"]
+
+
 def test_preview(spark):
     assert files.preview(spark.range(100)).count() == 20
     assert files.preview(spark.range(100), 5).count() == 5
@@ -182,7 +194,9 @@ def test_preview(spark):
 def test_command_line_runs_every_step(spark, lake, tmp_path):
     copy = str(tmp_path / "lake")
     raw = str(Path(lake).parent / "raw")
-    run(spark, parse(["land", raw, copy]))
+    run(spark, parse(["land", raw, copy, "--audit"]))
+    landed = {r.table_name: r.n_malformed for r in files.read_table(spark, copy, "audit", "landing").collect()}
+    assert landed.keys() == datasets.DATASETS.keys() and landed["sales"] == 0
     run(spark, parse(["silver", copy, "--tables", "sales", "vat", "--unmapped-years", "keep"]))
     assert sorted(p.name for p in Path(copy, "silver").iterdir()) == ["sales", "vat"]
     run(spark, parse(["prices", copy]))
@@ -192,7 +206,7 @@ def test_command_line_runs_every_step(spark, lake, tmp_path):
     run(spark, parse(["graph", copy]))
     assert len(list(Path(copy, "graph").iterdir())) == 13  # twelve tables, and the order headers they share
     run(spark, parse(["audit", copy]))
-    assert sorted(p.name for p in Path(copy, "audit").iterdir()) == sorted(AUDITS)
+    assert sorted(p.name for p in Path(copy, "audit").iterdir()) == sorted([*AUDITS, "landing"])
     counted = files.read_table(spark, copy, "audit", "row_counts").where("table_name like 'silver.%'").collect()
     assert sorted(r.table_name for r in counted) == ["silver.sales", "silver.vat"]
     sold = files.read_table(spark, copy, "graph", "edges_sold").collect()

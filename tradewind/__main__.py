@@ -10,7 +10,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tradewind.plans.warehouse import SILVER, audit, build_graph, build_silver, sync_prices
-from tradewind.sources.files import land
+from tradewind.sources.files import land, landing_audit, write_table
 
 
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -20,6 +20,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     landing.add_argument("raw")
     landing.add_argument("lake")
     landing.add_argument("--infer", action="store_true", help="let Spark guess the column types")
+    landing.add_argument("--audit", action="store_true", help="count malformed lines, as the table audit/landing")
     silver = steps.add_parser("silver", help="bronze tables to silver tables")
     silver.add_argument("lake")
     silver.add_argument("--tables", nargs="+", choices=SILVER, default=SILVER)
@@ -33,6 +34,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
 def run(spark: SparkSession, options: argparse.Namespace) -> None:
     if options.step == "land":
         land(spark, options.raw, options.lake, infer=options.infer)
+        if options.audit:
+            write_table(landing_audit(spark, options.raw), options.lake, "audit", "landing")
     elif options.step == "silver":
         build_silver(spark, options.lake, options.tables, options.unmapped_years)
         if options.audit:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind.sources.datasets import DATASETS, Dataset
 
@@ -84,6 +86,37 @@ def land(
         write_table(df, lake, "bronze", dataset.name)
 
 
+def checked_csv(spark: SparkSession, path: str, multiline: bool = False) -> tuple[DataFrame, str]:
+    """A CSV file as text, and the name of one column more: the whole line where it has fewer or more values than the header.
+
+    ``read_csv`` fills such a row with NULL, or leaves out what is too much.
+    """
+    names = spark.read.csv(path, header=True, multiLine=multiline).columns
+    line = "line"
+    while line in names:
+        line = "_" + line
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*names, line)])
+    df = spark.read.schema(schema).csv(path, header=True, multiLine=multiline, columnNameOfCorruptRecord=line)
+    # Asks for every column, as else Spark takes a line apart only as far as its wanted columns go.
+    return df.where(F.length(F.concat_ws("", *names)) >= 0), line
+
+
+def malformed_lines(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """The lines of a CSV file that have fewer or more values than its header: ``line``."""
+    df, line = checked_csv(spark, path, multiline)
+    return df.where(F.col(line).isNotNull()).select(F.col(line).alias("line"))
+
+
+def landing_audit(spark: SparkSession, raw: str, datasets: Mapping[str, Dataset] = DATASETS) -> DataFrame:
+    """For each raw CSV file ``table_name``, its ``n_rows``, and how many were ``n_malformed``; one scan a file."""
+    found = []
+    for dataset in datasets.values():
+        df, line = checked_csv(spark, f"{raw.rstrip('/')}/{dataset.csv_file}")
+        counts = df.agg(F.count("*").alias("n_rows"), F.count(line).alias("n_malformed"))
+        found.append(counts.select(F.lit(dataset.name).alias("table_name"), "n_rows", "n_malformed"))
+    return reduce(DataFrame.unionAll, found)
+
+
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
     """Any ``n`` rows, for looking at."""
     return df.limit(n)

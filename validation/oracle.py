@@ -530,6 +530,17 @@ def _lake_audits() -> str:
 ORACLE |= {
     "csv_strings": _query(f"select * replace ({_PRODUCT_TEXTS}) from raw_products"),
     "csv_inferred": _query(f"select * replace ({_PRODUCT_GUESSES}) from raw_products"),
+    "landing_audit": _query(
+        "select 'products' as table_name, count(*) as n_rows, count(*) filter (ProductID % 7 in (3, 5)) as n_malformed"
+        " from raw_products"
+    ),
+    "malformed_lines": _query(
+        "select concat_ws(',', ProductID, coalesce(ProductName, ''), SupplierID) as line from raw_products"
+        " where ProductID % 7 = 3 union all"
+        " select concat_ws(',', ProductID, coalesce(ProductName, ''), SupplierID, CategoryID, coalesce(QuantityPerUnit, ''),"
+        " coalesce(UnitPrice, ''), coalesce(UnitsInStock, ''), coalesce(UnitsOnOrder, ''), 'surplus')"
+        " from raw_products where ProductID % 7 = 5"
+    ),
     "landed_sales": _query("select * replace (cast(CustomerID as varchar) as CustomerID) from raw_sales"),
     **{f"lake_silver_{t}": ORACLE[f"silver_{t}"] for t in ("sales", "categories", "products", "customers", "employees", "vat")},
     "lake_silver_suppliers": _query("select * from raw_suppliers"),

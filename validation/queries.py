@@ -14,6 +14,7 @@ from tradewind.operators.dimensions import CITY_REGION
 from tradewind.operators.lookup import unmapped_values
 from tradewind.plans import categories, customers, employees, graph, products, sales, vat
 from tradewind.plans.warehouse import GRAPH, SILVER, audit, build_graph, build_silver, order_headers, sync_prices
+from tradewind.sources import files
 from tradewind.sources.datasets import DATASETS, SILVER_TYPES
 from tradewind.sources.files import land, read_csv, read_table, write_csv, write_table
 from tradewind.sources.scratch import scratch_path
@@ -93,6 +94,33 @@ def landed_sales(spark, sf_dir):
     return read_table(spark, lake, "bronze", "sales")
 
 
+def _broken_products(spark, sf_dir):
+    """A folder with a products file of which some lines lost their last values and some have one too many."""
+    raw = scratch_path(spark, "raw")
+    products = raw_products(spark, sf_dir)
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in products.columns]
+    whole = F.concat_ws(",", *values)
+    short, wide = F.concat_ws(",", *values[:3]), F.concat_ws(",", *values, F.lit("surplus"))
+    key = F.col("ProductID")
+    line = F.when(key % 7 == 3, short).when(key % 7 == 5, wide).otherwise(whole)
+    lines = products.select(line.alias("value"))
+    # Whole lines under the whole header, which every file of the folder has: no comma separates anything here.
+    path = f"{raw}/{DATASETS['products'].csv_file}"
+    lines.withColumnRenamed("value", ",".join(products.columns)).write.csv(path, header=True, sep="\u0001", quote="\u0000")
+    return raw
+
+
+def landing_audit(spark, sf_dir):
+    """Rows of a raw file, and how many of its lines have too few or too many values."""
+    return files.landing_audit(spark, _broken_products(spark, sf_dir), {"products": DATASETS["products"]})
+
+
+def malformed_lines(spark, sf_dir):
+    """Those lines."""
+    raw = _broken_products(spark, sf_dir)
+    return files.malformed_lines(spark, f"{raw}/{DATASETS['products'].csv_file}")
+
+
 def _bronze(spark, sf_dir, *datasets):
     """A lake with these bronze tables."""
     lake = scratch_path(spark, "lake")
@@ -480,6 +508,8 @@ QUERIES: dict[str, Query] = {
         *map(_lake_graph, GRAPH),
         lake_price_sync,
         lake_audits,
+        landing_audit,
+        malformed_lines,
         sales_dedup_header,
         sales_numeric_cast,
         rebase_years,

@@ -41,7 +41,11 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     Each row is judged by its own text, whatever its id. Null ids come last; of rows with one id any one may stay.
     """
-    rows = stored(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("node")), "near-rows")
+    # A row's number comes from its text and id. Only where that names several rows, they are numbered in a copy.
+    node = F.xxhash64(F.sha2(F.coalesce("text", F.lit("")), 256), "doc_id")
+    rows = docs.select(F.struct("*").alias("row"), node.alias("node"))
+    if not rows.groupBy("node").count().where("count > 1").isEmpty():
+        rows = stored(rows.withColumn("node", F.monotonically_increasing_id()), "near-rows")
     named = rows.select("node", "row.doc_id", "row.text")
     groups = simhash_groups(named.drop("doc_id"), shingle=4, radius=4, id_col="node")
     groups = stored(groups.select(F.col("doc_id").alias("node"), F.col("component_id").alias("root")), "near-groups")

@@ -342,6 +342,12 @@ def test_chains_against_every_chain():
         assert sum(map(len, found)) == len(runs)
 
 
+def test_chains_within_others_are_left_out():
+    found = [(1, 5, [10, 40, 3]), (1, 6, [12, 30, 0]), (1, 7, [10, 40, 1]), (1, 8, [9, 9, 0, 20, 41, 2]), (1, 9, [41, 50, 0]), (2, 5, [12, 30, 0])]
+    assert sorted(substring_dedup.outermost(found)) == [found[3], found[4], found[5]]
+    assert substring_dedup.outermost(found[:3]) == found[:1] and substring_dedup.outermost([]) == []
+
+
 def test_passages_and_cut():
     gains = np.array([-4] * 3 + [1] * 20 + [-4] + [1] * 20 + [-4] * 9 + [1] * 12, dtype=float)
     assert substring_dedup.passages(gains, 10) == [(3, 44), (53, 65)]

@@ -244,3 +244,17 @@ def test_a_bare_local_scratch_folder_is_refused_on_a_cluster():
     with pytest.raises(ValueError, match="bare local path"):
         scratch.scratch_path(FakeSession(**cluster, spark_checkpoint_dir="/tmp/x"), "a")
     assert scratch.scratch_path(FakeSession(**cluster, spark_checkpoint_dir="file:///shared/x"), "a")
+
+
+@pytest.mark.parametrize("path", ["/tmp/x", "/tmp/x/"])
+def test_a_bare_local_scratch_folder_is_taken_on_a_cluster_if_rows_come_back(spark, tmp_path, monkeypatch, path):
+    settings = {"spark.master": "local-cluster[3,4,10240]", "spark.checkpoint.dir": f"{tmp_path}{path}"}
+    read = spark.conf.get
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, *default: settings.get(key) or read(key, *default))
+    first, second = scratch.scratch_path(spark, "a"), scratch.scratch_path(spark, "a")
+    assert first.startswith(f"{tmp_path}/tmp/x/a-") and first != second
+    assert len(list((tmp_path / "tmp/x").glob("trial-*"))) == 1
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, path: spark.range(0))
+    settings["spark.checkpoint.dir"] = str(tmp_path / "unshared")
+    with pytest.raises(ValueError, match="bare local path"):
+        scratch.scratch_path(spark, "a")

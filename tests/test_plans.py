@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tradewind.operators import quality, reconcile
 from tradewind.operators.segments import with_class
 from tradewind.plans import graph, sales
+from validation import queries
 from validation.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -239,3 +240,16 @@ def written_rows(df):
         children = node.children()
         pending += [children.apply(i) for i in range(children.size())]
     return total
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["duplicate_keys", "duplicate_orders", "graph_nodes_order", "graph_edges_order_product", "graph_edges_sold", "graph_edges_purchased"],
+)
+def test_lines_grouped_by_order_are_dealt_to_tasks_by_their_number(spark, monkeypatch, name):
+    expected = sorted(map(tuple, QUERIES[name](spark, SF_DIR).collect()))
+    monkeypatch.setattr(queries, "TASK_ROWS", 500)
+    n = 1 + spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count() // 500
+    df = QUERIES[name](spark, SF_DIR)
+    assert n > 4 and re.search(rf"hashpartitioning\(l_orderkey#\d+L, {n}\), REPARTITION_BY_NUM", executed(df))
+    assert sorted(map(tuple, df.collect())) == expected

@@ -194,6 +194,16 @@ def test_bin_completion_fills_sequences_that_can_be_filled():
     assert check_plan(counts, 30, packing.complete_bins(counts, 30)) == 3
 
 
+@pytest.mark.parametrize("times", [1, 100_000])
+def test_every_filling_is_tried_whatever_the_number_of_pieces(times):
+    for pieces in (
+        [2, 2, 5, 5, 6, 6, 8, 16, 18, 19, 32, 36, 37, 41, 41, 44, 47, 55, 88, 92],
+        [3, 4, 7, 9, 12, 14, 18, 18, 18, 18, 20, 22, 23, 28, 32, 32, 33, 37, 42, 53, 64, 93],
+    ):
+        counts = {x: n * times for x, n in Counter(pieces).items()}
+        assert check_plan(counts, 100, packing.complete_bins(counts, 100)) == 6 * times
+
+
 def test_fillings_are_all_that_are_undominated():
     draw = random.Random(6)
     for _ in range(300):

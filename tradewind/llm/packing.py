@@ -24,6 +24,7 @@ from tradewind.llm.encoding import REMEMBERED, encoder
 
 # Lengths and how many of each, and the number of sequences filled so.
 Pattern = tuple[dict[int, int], int]
+FILLINGS = 50_000  # partial fillings of one room that the complete search looks at: bounds the driver's memory
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[Pattern]:
@@ -174,6 +175,21 @@ def undominated(counts: dict[int, int], room: int, waste: int, steps: int) -> tu
     return found, taken
 
 
+@dataclass
+class _Frame:
+    """Where the complete search stands: what is to be packed, and the filling now tried, for so many sequences."""
+
+    counts: dict[int, int]
+    waste: int
+    nogoods: list[dict[int, int]]
+    ways: Iterator[tuple[int, dict[int, int], dict[int, int]]]
+    tried: list[dict[int, int]] = field(default_factory=list)
+    left: int = 0
+    way: dict[int, int] = field(default_factory=dict)
+    filled: dict[int, int] = field(default_factory=dict)
+    copies: int = 0
+
+
 @dataclass
 class _Search:
     capacity: int
@@ -214,48 +230,62 @@ class _Search:
                 size = copies * sum(x * n for x, n in filled.items())
                 stack.append((left, tokens - size, used + copies, depth + 1, (filled, copies)))
 
-
     def complete(self, counts: dict[int, int], steps: int) -> bool:
-        """Try every undominated filling around the longest length, one sequence at a time; whether all was tried.
+        """Try every undominated filling around the longest length, for as many sequences as the counts allow, then for
+        one less, and so on; whether all was tried.
 
         A filling that was tried in vain is a nogood for those after it, which are no fuller: a later sequence with all
-        its pieces could exchange them for the other filling's, which gives a packing that was tried already.
+        its pieces could exchange them for the other filling's, which gives a packing that was tried already. So with one
+        copy less of a filling, no further sequence has it. How deep the search goes depends on the fillings that differ,
+        not on the number of sequences.
         """
         tokens = sum(x * n for x, n in counts.items())
-        frames: list[tuple[dict[int, int], int, list, int, Iterator, list]] = []
-        made: list[dict[int, int]] = []
+        frames: list[_Frame] = []
+        made: list[Pattern] = []
+        whole = True
 
         def spare() -> int:
             return (self.sequences - 1) * self.capacity - tokens
 
         def open_(counts: dict[int, int], waste: int, nogoods: list[dict[int, int]]) -> None:
-            nonlocal steps
-            longest = max(counts)
+            nonlocal steps, whole
+            longest, most = max(counts), min(steps, FILLINGS)
             rest = {x: n - (x == longest) for x, n in counts.items()}
-            found, taken = undominated(rest, self.capacity - longest, spare() - waste, steps)
+            found, taken = undominated(rest, self.capacity - longest, spare() - waste, most)
             steps -= taken + len(counts)
-            whole = ((left, way, way | {longest: way.get(longest, 0) + 1}) for left, way in found)
-            ways = [w for w in whole if not any(all(w[2].get(x, 0) >= n for x, n in bad.items()) for bad in nogoods)]
-            frames.append((counts, waste, nogoods, longest, iter(ways), []))
+            whole = whole and taken < most
+            every = ((left, way, way | {longest: way.get(longest, 0) + 1}) for left, way in found)
+            ways = (w for w in every if not any(all(w[2].get(x, 0) >= n for x, n in bad.items()) for bad in nogoods))
+            frames.append(_Frame(counts, waste, nogoods, ways))
 
         open_(counts, 0, [])
         while frames and steps > 0 and self.sequences > self.least:
-            counts, waste, nogoods, longest, ways, tried = frames[-1]
-            left, way, filled = next(ways, (self.capacity, {}, {}))
-            if waste + left > spare():
-                frames.pop()
-                if made:
+            frame = frames[-1]
+            if frame.copies > 1 and frame.way:
+                frame.copies -= 1  # without that filling from there on
+                made[-1] = (frame.filled, frame.copies)
+                nogoods = [*frame.nogoods, *frame.tried, frame.way]
+            else:
+                if frame.copies:
                     made.pop()
-                continue
-            rest = {x: n - filled.get(x, 0) for x, n in counts.items() if n > filled.get(x, 0)}
+                    frame.tried += [frame.way] * bool(frame.way)
+                found = next(frame.ways, None)
+                if found is None or frame.waste + found[0] > spare():
+                    frames.pop()
+                    continue
+                frame.left, frame.way, frame.filled = found
+                frame.copies = min(frame.counts[x] // n for x, n in frame.filled.items())
+                if frame.left:
+                    frame.copies = min(frame.copies, (spare() - frame.waste) // frame.left)
+                made.append((frame.filled, frame.copies))
+                nogoods = [*frame.nogoods, *frame.tried]
+            used = {x: frame.copies * n for x, n in frame.filled.items()}
+            rest = {x: n - used.get(x, 0) for x, n in frame.counts.items() if n > used.get(x, 0)}
             if not rest:
-                self.best = [(some, 1) for some in (*made, filled)]
+                self.best = list(made)
                 continue
-            made.append(filled)
-            open_(rest, waste + left, nogoods + tried)
-            if way:
-                tried.append(way)
-        return not frames
+            open_(rest, frame.waste + frame.copies * frame.left, nogoods)
+        return whole and not frames
 
 
 def complete_bins(counts: dict[int, int], capacity: int, nodes: int = 6_000, steps: int = 1_000_000) -> list[Pattern]:
@@ -264,14 +294,14 @@ def complete_bins(counts: dict[int, int], capacity: int, nodes: int = 6_000, ste
     Branch and bound around the longest length left, with best-fit decreasing as the first incumbent. It ends as soon as
     the lower bound is reached. First a quick search of at most ``nodes`` branches, which tries up to three good fillings
     at a time, each for as many sequences as the counts allow. A branch ends when the tokens left can't fit into fewer
-    sequences than the best packing so far. Then all undominated fillings are tried, one sequence at a time, within the
-    waste that a better packing may have; this ends after ``steps`` partial fillings, and is left out where that would not
-    do for a single descent. If it comes to its end, the packing is one of the fewest sequences.
+    sequences than the best packing so far. Then all undominated fillings are tried, within the waste that a better
+    packing may have, whatever the number of pieces; this ends after ``steps`` partial fillings. If it comes to its end,
+    the packing is one of the fewest sequences.
     """
     counts = {x: n for x, n in counts.items() if n}
     search = _Search(capacity, bound(counts, capacity), best_fit(counts, capacity), nodes)
     search.run(counts, sum(x * n for x, n in counts.items()), 0)
-    if search.sequences > search.least and search.sequences * len(counts) < steps:
+    if search.sequences > search.least:
         search.complete(counts, steps)
     return search.best
 

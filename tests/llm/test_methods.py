@@ -7,6 +7,7 @@ import struct
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from public_tokenizers import path as tokenizer_path
 from tokenizers import Tokenizer
@@ -451,3 +452,17 @@ def test_the_scorer_equals_a_plain_one():
     found = quality.train(texts, good, rounds=30)
     assert dense @ found == pytest.approx(dense @ w, abs=1e-6)
     assert not quality.train([], np.zeros(0)).any()
+
+
+def test_workers_that_wait_remember_no_parts(spark):
+    path, draw = tokenizer_path("word_bpe_49k.json"), random.Random(2)
+    texts = [(i, " ".join(f"w{draw.randrange(10**6)}" for _ in range(50))) for i in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    assert packing.encode_pieces(docs, path, 2048).count() == 40
+
+    def known(batches):
+        for batch in batches:
+            own = encoding.encoder(path)
+            yield pa.RecordBatch.from_pydict({"id": [len(own.parts) + len(own.starts) + len(own.words)] * batch.num_rows})
+
+    assert {r.id for r in spark.range(0, 8, 1, 4).mapInArrow(known, "id long").collect()} == {0}

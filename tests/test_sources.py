@@ -9,6 +9,7 @@ import pytest
 from tradewind.__main__ import parse, run
 from tradewind.plans.warehouse import AUDITS, build_silver
 from tradewind.sources import datasets, files, scratch
+from validation.queries import QUERIES
 
 HEADER = (
     "OrderID,CustomerID,EmployeeID,OrderDate,RequiredDate,ShippedDate,ShipVia,Freight,ShipName,ShipAddress,ShipCity,"
@@ -258,3 +259,14 @@ def test_a_bare_local_scratch_folder_is_taken_on_a_cluster_if_rows_come_back(spa
     settings["spark.checkpoint.dir"] = str(tmp_path / "unshared")
     with pytest.raises(ValueError, match="bare local path"):
         scratch.scratch_path(spark, "a")
+
+
+@pytest.mark.parametrize("name", ["csv_inferred", "csv_roundtrip", "csv_strings", "lake_silver_categories", "lake_price_sync"])
+def test_queries_that_write_run_on_a_cluster_with_a_bare_scratch_folder(spark, tmp_path, monkeypatch, name):
+    expected = sorted(QUERIES[name](spark, "/root/testdata/sf0.001").collect(), key=str)
+    settings = {"spark.master": "local-cluster[3,4,10240]", "spark.checkpoint.dir": str(tmp_path / "bare")}
+    read = spark.conf.get
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, *default: settings.get(key) or read(key, *default))
+    found = QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(found, key=str) == expected != []
+    assert any((tmp_path / "bare").iterdir())

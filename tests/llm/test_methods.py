@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from public_tokenizers import path as tokenizer_path
 from tokenizers import Tokenizer
@@ -46,6 +47,28 @@ def test_remembered_parts_can_be_forgotten(monkeypatch):
     assert [np.frombuffer(own.encode([t])[0], "<u4").tolist() for t in texts] == alone
 
 
+def test_a_batch_looks_each_distinct_part_up_once():
+    own = encoding.Encoder(Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json")), "keep")
+    asked = []
+
+    class Counted(encoding._Parts):
+        def __getitem__(self, part):
+            asked.append(part)
+            return super().__getitem__(part)
+
+    own.parts = Counted(own.parts.find)
+    texts = ["one two three", "", "six two two", " two\n\nthree", "\n", "two ", "日本 two"] * 50
+    alone = [own.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == alone
+    assert len(asked) == len(set(asked)) < 10
+
+
+def test_white_space_in_a_row_is_that_of_python():
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    found = pc.match_substring_regex(pa.array([f"a{chr(c)} b" for c in points], pa.large_string()), encoding._ADJACENT)
+    assert [c for c, x in zip(points, found.to_pylist(), strict=True) if x] == [c for c in points if chr(c).isspace()]
+
+
 def test_sentencepiece_parity():
     sentencepiece = pytest.importorskip("sentencepiece")
     path = tokenizer_path("piece_bpe_32k.model")

@@ -1,7 +1,8 @@
 """Encoding of texts with the tokenizers library inside Spark tasks.
 
 Where a tokenizer never joins what stands on the two sides of a lone space, a text is cut there, and each distinct part
-is encoded once and remembered: natural texts repeat their words. A new part in Latin letters is split by the
+is encoded once and remembered: natural texts repeat their words. Arrow cuts the texts of a batch, finds the distinct
+parts and puts their ids in place, so Python handles each of them once a batch. A new part in Latin letters is split by the
 tokenizer's own pattern, and the library's model encodes each distinct word of it once; any other part goes through the
 library as it is. So does a whole text with two white-space characters in a row, and every text of a tokenizer that
 allows no cuts. Either way the ids are those of the whole text.
@@ -10,18 +11,24 @@ allows no cuts. Either way the ids are those of the whole text.
 from __future__ import annotations
 
 import json
-import re
 import struct
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import pairwise
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
 # Parts remembered by one Python worker, twice: when full, those not met since the last time are forgotten. About 200
 # bytes each.
 REMEMBERED = 500_000
-_ADJACENT = re.compile(r"\s\s")
+# Two white-space characters in a row, by the code points that Python and the tokenizers' patterns take as such. Arrow's
+# own class has ASCII only.
+_SPACES = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_ADJACENT = f"[{_SPACES}][{_SPACES}]"
 # Fixed value: how byte-level tokenizers split text when their file names no pattern.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Below it, letters are the same in every Unicode version, and composed: NFC leaves them.
@@ -119,26 +126,37 @@ class Encoder:
         return b"".join(map(self.words.__getitem__, self.split(lead + part)))
 
     def _whole(self, text: str) -> bool:
-        """Whether a text must not be cut."""
-        return self.cut == "none" or _ADJACENT.search(text) is not None
+        """Whether a text must not be cut, but for white space in a row."""
+        return self.cut == "none"
 
     def _prepare(self, texts: list[str]) -> None:
         """Called with all texts that will be cut."""
 
+    def _joined(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each of some texts, which may all be cut."""
+        cut = pc.split_pattern(texts, " ")
+        bounds, parts = cut.offsets.to_numpy(), cut.values.dictionary_encode()
+        ids = list(map(self.parts.__getitem__, parts.dictionary.to_numpy(zero_copy_only=False)))
+        firsts = cut.values.take(cut.offsets[:-1]).to_pylist()
+        place = parts.indices.to_numpy().copy()
+        place[bounds[:-1]] = np.arange(len(ids), len(ids) + len(firsts))
+        ids += map(self.starts.__getitem__, firsts)
+        _, ends, every = pa.array(ids, pa.large_binary()).take(pa.array(place)).buffers()
+        ends, every = np.frombuffer(ends, np.int64)[bounds].tolist(), memoryview(every or b"")
+        return [bytes(every[a:b]) for a, b in pairwise(ends)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         self._bound()
-        whole = [i for i, t in enumerate(texts) if self._whole(t)]
+        column = pa.array(texts, pa.large_string())
+        odd = pc.match_substring_regex(column, _ADJACENT).to_pylist()
+        whole = [i for i, t in enumerate(texts) if odd[i] or self._whole(t)]
         found = dict(zip(whole, self._library([texts[i] for i in whole]), strict=True)) if whole else {}
-        self._prepare([t for i, t in enumerate(texts) if i not in found] if whole else texts)
-        known, out = self.parts.__getitem__, []
-        for i, text in enumerate(texts):
-            if i in found:
-                out.append(found[i])
-                continue
-            first, space, rest = text.partition(" ")
-            out.append(self.starts[first] + b"".join(map(known, rest.split(" "))) if space else self.starts[first])
-        return out
+        rest = [i for i in range(len(texts)) if i not in found]
+        if rest:
+            self._prepare([texts[i] for i in rest])
+            found |= zip(rest, self._joined(column.take(pa.array(rest)) if whole else column), strict=True)
+        return [found[i] for i in range(len(texts))]
 
 
 @lru_cache(maxsize=4)

@@ -47,8 +47,9 @@ def test_remembered_parts_can_be_forgotten(monkeypatch):
     assert [np.frombuffer(own.encode([t])[0], "<u4").tolist() for t in texts] == alone
 
 
-def test_a_batch_looks_each_distinct_part_up_once():
-    own = encoding.Encoder(Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json")), "keep")
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_a_batch_looks_each_distinct_part_up_once(name):
+    own = encoding.encoder.__wrapped__(tokenizer_path(name))
     asked = []
 
     class Counted(encoding._Parts):

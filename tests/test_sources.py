@@ -270,3 +270,8 @@ def test_queries_that_write_run_on_a_cluster_with_a_bare_scratch_folder(spark, t
     found = QUERIES[name](spark, "/root/testdata/sf0.001").collect()
     assert sorted(found, key=str) == expected != []
     assert any((tmp_path / "bare").iterdir())
+
+
+@pytest.mark.parametrize("name", [f"lake_graph_nodes_{x}" for x in ("category", "employee", "order", "product", "supplier")])
+def test_node_tables_are_written_on_a_cluster_with_a_bare_scratch_folder(spark, tmp_path, monkeypatch, name):
+    test_queries_that_write_run_on_a_cluster_with_a_bare_scratch_folder(spark, tmp_path, monkeypatch, name)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+import re
 import struct
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +15,7 @@ import pytest
 from public_tokenizers import path as tokenizer_path
 from tokenizers import Tokenizer
 
+from tests.llm.conftest import prose
 from tradewind.llm import embedding_dedup, encoding, packing, quality, sharding, simhash, substring_dedup, token_blocks
 from tradewind.llm.sentencepiece_codec import PieceModel, codec
 from tradewind.sources.scratch import scratch_path
@@ -490,3 +493,23 @@ def test_workers_that_wait_remember_no_parts(spark):
             yield pa.RecordBatch.from_pydict({"id": [len(own.parts) + len(own.starts) + len(own.words)] * batch.num_rows})
 
     assert {r.id for r in spark.range(0, 8, 1, 4).mapInArrow(known, "id long").collect()} == {0}
+
+
+def resident() -> int:
+    """Bytes of memory that are this process's own."""
+    found = re.findall(r"\nPss_(?:Anon|Shmem):\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())
+    return sum(map(int, found)) << 10
+
+
+def test_a_worker_that_has_packed_keeps_no_unused_arrow_memory(spark, monkeypatch):
+    draw = random.Random(5)
+    known = [prose(draw, 1) for _ in range(40_000)]
+    texts = [" ".join(draw.choices(known, k=200)) for _ in range(8_000)]
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, kind: f)
+    cut = packing.encode_pieces(docs, tokenizer_path("word_bpe_49k.json"), 2048, ids=True)
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["id", "text"])
+    assert sum(out.num_rows for out in cut(iter([batch]))) == len(texts)
+    held = resident()
+    pa.default_memory_pool().release_unused()
+    assert held - resident() < 30 << 20

@@ -341,3 +341,8 @@ def test_cut_passages(documents, texts):
     assert cut[49].text.split() == ["tail"] and (None in cut) == (len(texts[6].split()) < 50)
     gone = set(texts) - set(cut)
     assert gone and all(texts[i] in [t for j, t in texts.items() if j < i] or texts[i].lower() == texts[3] for i in gone)
+
+
+def test_passages_are_cut_out_once(documents):
+    plan = cut_passages(documents)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

@@ -330,7 +330,7 @@ def encode_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
         own.remembered = REMEMBERED // 4
-        for batch in slices(batches, "text", (4 if ids else 8) << 20):
+        for batch in slices(batches, "text", (2 if ids else 8) << 20):
             rows = []
             for doc, found in zip(batch.column("id").to_pylist(), own.encode(batch.column("text").to_pylist()), strict=True):
                 whole = found + end
@@ -340,6 +340,7 @@ def encode_pieces(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema
             )
+            pa.default_memory_pool().release_unused()  # else Arrow keeps the room of a batch for good
         own.forget()  # tasks that follow need the room, and workers that wait for one must not hold it
 
     rows = docs.select(docs[id_col].cast("long").alias("id"), text_or_empty(docs[text_col]).alias("text"))

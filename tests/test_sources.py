@@ -275,3 +275,22 @@ def test_queries_that_write_run_on_a_cluster_with_a_bare_scratch_folder(spark, t
 @pytest.mark.parametrize("name", [f"lake_graph_nodes_{x}" for x in ("category", "employee", "order", "product", "supplier")])
 def test_node_tables_are_written_on_a_cluster_with_a_bare_scratch_folder(spark, tmp_path, monkeypatch, name):
     test_queries_that_write_run_on_a_cluster_with_a_bare_scratch_folder(spark, tmp_path, monkeypatch, name)
+
+
+@pytest.mark.parametrize("name", ["csv_inferred", "lake_graph_nodes_category", "lake_silver_employees"])
+def test_queries_that_write_run_on_a_cluster_with_a_folder_set_by_call(spark, tmp_path, monkeypatch, name):
+    settings = {"spark.master": "local-cluster[3,4,10240]", "spark.checkpoint.dir": None}
+    read = spark.conf.get
+    monkeypatch.setattr(
+        type(spark.conf), "get", lambda self, key, *default: settings[key] if key in settings else read(key, *default)
+    )
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: f"file:{tmp_path}/called")
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(list((tmp_path / "called").glob("trial-*"))) == 1
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, path: spark.range(0))
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: f"file:{tmp_path}/unshared")
+    with pytest.raises(ValueError, match="bare local path"):
+        scratch.scratch_path(spark, "a")
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    with pytest.raises(ValueError, match="set spark.checkpoint.dir"):
+        scratch.scratch_path(spark, "a")

@@ -147,8 +147,9 @@ def link_fingerprints(distinct: DataFrame, radius: int, agree: int = 3) -> DataF
     shared = keyed.groupBy("table", "key").agg(F.count("*").alias("n")).where("n > 1")
     parts = F.ceil(F.col("n") / LANES).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    # Spark sizes both sides as the table before the explode, and would broadcast some 35 rows for each fingerprint.
     dealt = (
-        keyed.join(shared, ["table", "key"])
+        keyed.join(shared.hint("merge"), ["table", "key"])
         .withColumn("parts", parts)
         .withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))})
         .select("table", "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "fp")
